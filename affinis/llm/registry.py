@@ -5,10 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets, urls
+from . import packing, pieces, quality, secrets, topk, toxicity, urls
 from .common import table
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 100 = 0"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, "doc_id", "text", F.col("toxic"))
+    return toxicity.score(docs, model).withColumn("toxic", toxicity.rejected(F.col("p_toxic"))).withColumnRenamed("id", "doc_id")
+
+
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    back = pieces.decode(pieces.encode(docs))
+    text_hash = F.xxhash64("text")
+    return back.select(F.col("id").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), F.length("text").cast("long").alias("n_chars"), text_hash.alias("decoded_hash"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.digest(secrets.scan(docs, "doc_id", "text", F.col("source"), F.concat_ws("/", "source", "lang")))
@@ -22,5 +43,20 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
-QUERIES = {f.__name__: f for f in (op5_secret_scan, op6_quality_rules, op7_url_filter)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_toxicity, op3_sentence_pieces, op4_packing, op5_secret_scan, op6_quality_rules, op7_url_filter)}
+ORACLES: dict[str, str] = {
+    "op1_top_k": """
+        with fine as (
+            select vec_id, min([cast(floor(1024 * cast(x as double)) as bigint) for x in embedding]) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            group by vec_id),
+        flat as (select vec_id, unnest(v) as x, generate_subscripts(v, 1) as i from fine),
+        scored as (
+            select q.vec_id as query_id, c.vec_id, cast(sum(q.x * c.x) as bigint) as score
+            from flat q join flat c on q.i = c.i and q.vec_id <> c.vec_id
+            where q.vec_id % 100 = 0 group by all),
+        ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+        select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 10""",
+}
