@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pieces, quality, secrets, suffixtree, topk, toxicity, urls
+from . import packing, pieces, quality, secrets, suffixes, suffixtree, topk, toxicity, urls
 from .common import table
 
 
@@ -43,6 +43,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = suffixtree.crc_fold("doc_id") == 2
@@ -51,7 +55,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixtree.score(docs, suffixtree.grow(train, counts), counts, held_out=out).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_toxicity, op3_sentence_pieces, op4_packing, op5_secret_scan, op6_quality_rules, op7_url_filter, op10_suffix_tree)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_toxicity, op3_sentence_pieces, op4_packing, op5_secret_scan, op6_quality_rules, op7_url_filter, op9_suffix_array, op10_suffix_tree)}
 ORACLES: dict[str, str] = {
     "op1_top_k": """
         with fine as (
