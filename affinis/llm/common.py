@@ -19,17 +19,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and read it from there: lost executors cost no recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that driver and executors share.
 
-    The folder is spark.checkpoint.dir of the session; a temporary one is set only where that is unset (local tests).
+    It is spark.checkpoint.dir of the session; a temporary one is set only where that is unset (local tests).
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write df to the shared folder and read it from there: lost executors cost no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut(), as a Parquet table, which is smaller where columns repeat themselves."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once per row, even where lambdas in body use it once per element."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -45,14 +58,3 @@ def stacked(parts: list[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Like cut(), as a Parquet table, which is smaller where columns repeat themselves."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
-    path = f"{sc.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

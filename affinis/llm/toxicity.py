@@ -142,3 +142,19 @@ def score(docs: DataFrame, model: Ordinal | None, id_col: str = "doc_id", text_c
 
 def rejected(p_toxic: Column, most: float = 0.5) -> Column:
     return p_toxic > most
+
+
+def without_rejected(docs: DataFrame, model: Ordinal | None, text_col: str = "text", most: float = 0.5) -> DataFrame:
+    """docs without the rows whose text the model rejects, judged in one pass; columns as they were."""
+    if model is None:
+        return docs
+    held = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Ordinal(*held.value)
+        for b in sliced(batches, text_col):
+            r, f = features(b.column(at))
+            yield b.filter(pa.array(1 - own.below(np.bincount(r, own.weights[f], minlength=b.num_rows))[:, 0] <= most))
+
+    return docs.mapInArrow(keep, docs.schema)
