@@ -10,7 +10,7 @@ equal places. The strings of one anchor stand side by side in its text and form
 whose anchor occurs once hold no repeat; contexts that occur twice hold nothing else. What remains, the rims of
 repeated passages, goes to the suffix array of its anchor's bucket. A bucket with more than HOT different contexts, as
 of a passage that a third of the corpus quotes, isn't gathered in a task: its strings are counted by a hash of
-all their bytes, with partial sums.
+all their bytes, with partial sums, first STRIDE neighbours at once and one by one where these differ.
 
 Texts are known by 128 bits of their hash, so copies are handled once. Nulls and edge cases: a null text is empty; texts
 shorter than WIDTH lose nothing; repeated rows are repeats of each other; a null id stays null; an empty table gives an
@@ -33,6 +33,8 @@ from .textops import gram_hash, mixed, prefix_hash, raw, sliced
 WIDTH, GRAM = 200, 32
 #: Different contexts of one anchor that one task sorts; beyond it their strings are counted by hash.
 HOT = 256
+#: Neighbouring strings of hot buckets that are counted at once.
+STRIDE = 16
 #: Bytes of contexts in one suffix array.
 BLOCK = 1 << 20
 
@@ -146,8 +148,8 @@ def repeats(contexts: list[bytes], strings: np.ndarray, width: int = WIDTH) -> l
 
 
 def contexts_of(data: np.ndarray, off: np.ndarray, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(text's index, first and last string's start in its text, anchor's hash, context's hash), one entry per context."""
-    empty = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    """(text's index, first and last string's start and the anchor in its text, hashes of anchor and context) of each context."""
+    empty = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
     grams = len(data) - gram + 1
     span = width - gram + 1
     if len(data) < width:
@@ -179,7 +181,7 @@ def contexts_of(data: np.ndarray, off: np.ndarray, width: int = WIDTH, gram: int
     row = np.searchsorted(off, lo, "right") - 1
     at = anchor[lo]
     whole = mixed(gram_hash(h, lo, hi + width) + (at - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return row, lo - off[row], hi - off[row], hashed[at], whole
+    return row, lo - off[row], hi - off[row], at - off[row], hashed[at], whole
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -188,21 +190,21 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in sliced(batches):
-        row, lo, hi, fp, ctx = contexts_of(*raw(b.column(2)))
-        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), _signed(fp), _signed(ctx), pa.array(lo << 16 | (hi - lo))], ["h1", "h2", "fp", "ctx", "at"])
+        row, lo, hi, at, fp, ctx = contexts_of(*raw(b.column(2)))
+        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), _signed(fp), _signed(ctx), pa.array(lo << 16 | (hi - lo) << 8 | (at - lo))], ["h1", "h2", "fp", "ctx", "at"])
 
 
 def _clipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts' bytes from (text, members)."""
     for b in sliced(batches):
-        out: list[list] = [[] for _ in range(7)]
+        out: list[list] = [[] for _ in range(8)]
         for text, h1, h2, members in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
             data = text.encode()
             for m in members:
-                lo, n = m["at"] >> 16, m["at"] & 0xFFFF
-                for c, x in zip(out, (m["fp"], h1, h2, lo, n + 1, m["n"], data[lo : lo + n + WIDTH]), strict=True):
+                lo, n = m["at"] >> 16, m["at"] >> 8 & 0xFF
+                for c, x in zip(out, (m["fp"], h1, h2, lo, n + 1, m["n"], data[lo : lo + n + WIDTH], m["at"] & 0xFF), strict=True):
                     c.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.int64()] * 6 + [pa.binary()], strict=True)], ["fp", "h1", "h2", "lo", "strings", "n", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.int64()] * 6 + [pa.binary(), pa.int64()], strict=True)], ["fp", "h1", "h2", "lo", "strings", "n", "bytes", "shift"])
 
 
 def _runs(h1: list[int], h2: list[int], lo: list[int], flags: list[np.ndarray]) -> pa.RecordBatch:
@@ -236,19 +238,51 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield flush(held)
 
 
+def _gathered(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(prefix hash of all contexts, where each begins, its number of strings)."""
+    n = np.array(part.column(4).to_pylist(), np.int64)
+    return prefix_hash(np.frombuffer(b"".join(part.column(6).to_pylist()), np.uint8)), np.concatenate([[0], np.cumsum(n + WIDTH - 1)])[:-1], n
+
+
+def _rows(row: np.ndarray, part: pa.RecordBatch, **more: np.ndarray) -> pa.RecordBatch:
+    take = pa.array(row)
+    cols = [part.column(c).take(take) for c in (0, 1, 2, 5)]
+    return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in more.values()), *cols], [*more, "fp", "h1", "h2", "n"])
+
+
+def _hashed_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups of up to STRIDE strings of hot buckets: the hash of what all of them share, and of what they cover.
+
+    Groups begin at multiples of STRIDE from the anchor, so equal strings stand in equal groups.
+    """
+    for b in batches:
+        for k in range(0, b.num_rows, 2000):
+            part = b.slice(k, 2000)
+            h, begin, n = _gathered(part)
+            shift = np.array(part.column(7).to_pylist(), np.int64)
+            first, last = -((shift + STRIDE - 1) // STRIDE), (n - 1 - shift) // STRIDE
+            count = last - first + 1
+            row = np.repeat(np.arange(len(n)), count)
+            at = np.repeat(first, count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            lo = np.maximum(at * STRIDE + shift[row], 0)
+            hi = np.minimum(at * STRIDE + shift[row] + STRIDE - 1, n[row] - 1)
+            shared = begin[row] + at * STRIDE + shift[row]  # what every string of the group holds, however the context cuts it
+            core = gram_hash(h, shared + STRIDE - 1, shared + WIDTH)
+            whole = mixed(gram_hash(h, begin[row] + lo, begin[row] + hi + WIDTH) + (lo - shift[row]).astype(np.uint64))
+            base = np.array(part.column(3).to_pylist(), np.int64)[row]
+            yield _rows(row, part, at=at, core=core, whole=whole, c=base, lo=base + lo, hi=base + hi)
+
+
 def _hashed_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each string of hot buckets by a hash of its bytes."""
+    """Each string of a group by a hash of its bytes."""
     for b in batches:
         for k in range(0, b.num_rows, 2000):
             part = b.slice(k, 2000)
-            data = np.frombuffer(b"".join(part.column(6).to_pylist()), np.uint8)
-            n = np.array(part.column(4).to_pylist(), np.int64)
-            begin = np.concatenate([[0], np.cumsum(n + WIDTH - 1)])[:-1]
+            h, begin, n = _gathered(part)
             row = np.repeat(np.arange(len(n)), n)
             place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             start = begin[row] + place
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([_signed(gram_hash(prefix_hash(data), start, start + WIDTH)), *(part.column(c).take(take) for c in (0, 1, 2)), pa.array(np.array(part.column(3).to_pylist(), np.int64)[row] + place), part.column(5).take(take)], ["w", "fp", "h1", "h2", "s", "n"])
+            yield _rows(row, part, w=gram_hash(h, start, start + WIDTH), s=np.array(part.column(3).to_pylist(), np.int64)[row] + place)
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,31 +306,45 @@ def hashes(text) -> list:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")]
 
 
+def _counted(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(h1, h2, lo, hi) of repeated strings in hot buckets, found in groups and one by one."""
+    tail = "fp long, h1 long, h2 long, n long"
+    groups = stored(contexts.mapInArrow(_hashed_groups, f"at long, core long, whole long, c long, lo long, hi long, {tail}"))
+    kinds = stored(groups.groupBy("fp", "at", "core", "whole").agg(F.sum("n").alias("uses"), F.min(F.struct("h1", "h2", "c", "lo", "hi")).alias("own")))
+    sure = groups.where("n = 1").join(kinds.where("uses > 1").select("fp", "at", "core", "whole"), ["fp", "at", "core", "whole"]).select("h1", "h2", "lo", "hi")
+    rims = stored(kinds.groupBy("fp", "at", "core").agg(F.count("*").alias("kinds"), F.min("uses").alias("least")).where("kinds > 1 and least = 1").select("fp", "at", "core"))
+    few = kinds.join(rims, ["fp", "at", "core"]).select("fp", "uses", "own.*")
+    text = contexts.select("fp", "h1", "h2", F.col("lo").alias("c"), "bytes")
+    size = F.col("hi") - F.col("lo")
+    part = few.join(text, ["fp", "h1", "h2", "c"]).select("fp", "h1", "h2", "lo", (size + 1).alias("strings"), F.col("uses").alias("n"), F.substr("bytes", (F.col("lo") - F.col("c") + 1).cast("int"), (size + WIDTH).cast("int")).alias("bytes"))
+    strings = stored(part.mapInArrow(_hashed_strings, f"w long, s long, {tail}"))
+    twice = stored(strings.groupBy("w", "fp").agg(F.sum("n").alias("uses")).where("uses > 1").select("w", "fp"))
+    return sure, strings.where("n = 1").join(twice, ["w", "fp"]).select("h1", "h2", F.col("s").alias("lo"), F.col("s").alias("hi"))
+
+
 def cut_repeats(texts: DataFrame) -> DataFrame:
     """(h1, h2, n_removed, n_spans, kept) of each different text that loses something; texts: a column text, not null."""
     slim = texts.select(*hashes(F.col("text")), "text").where(F.octet_length("text") >= WIDTH)
     anchors = stored(slim.mapInArrow(_anchors, "h1 long, h2 long, fp long, ctx long, at long"))
-    often = anchors.groupBy("fp").agg(F.count("*").alias("total")).where("total > 1").select("fp")
+    often = stored(anchors.groupBy("fp").agg(F.count("*").alias("total")).where("total > 1").select("fp"))  # stored, so that a hot key's rows can be split
     again = stored(anchors.join(often, "fp"))
     kinds = again.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("h1", "h2", "at")).alias("own"))
     kinds = stored(kinds)
     sure = again.join(kinds.where("n > 1").select("fp", "ctx"), ["fp", "ctx"]).groupBy("h1", "h2", "at").agg(F.first("fp").alias("fp"))
-    sure = sure.select("h1", "h2", F.expr("at >> 16").alias("lo"), F.expr("(at >> 16) + (at & 65535)").alias("hi"))
+    sure = sure.select("h1", "h2", F.expr("at >> 16").alias("lo"), F.expr("(at >> 16) + ((at >> 8) & 255)").alias("hi"))
     open_ = kinds.groupBy("fp").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("fp", (F.col("kinds") > HOT).alias("hot"))
+    open_ = stored(open_)
     members = kinds.join(open_, "fp").select("own.h1", "own.h2", F.struct("fp", "own.at", "n", "hot").alias("m"))
     keys = again.groupBy("h1", "h2").agg(F.first("fp").alias("any")).select("h1", "h2")
     found = stored(slim.join(keys, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]))
     listed = found.join(members.groupBy("h1", "h2").agg(F.collect_list("m").alias("m")), ["h1", "h2"])
-    clip = "fp long, h1 long, h2 long, lo long, strings long, n long, bytes binary"
+    clip = "fp long, h1 long, h2 long, lo long, strings long, n long, bytes binary, shift long"
     pick = lambda hot: F.filter("m", lambda x: x["hot"] == hot)
     clipped = [listed.select("text", "h1", "h2", pick(hot).alias("m")).where(F.size("m") > 0).mapInArrow(_clipped, clip) for hot in (False, True)]
-    ranges = "h1 long, h2 long, lo long, hi long"
     count = max(2, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    by_sort = clipped[0].repartition(count, "fp").sortWithinPartitions("fp").mapInArrow(_sorted_buckets, ranges)
-    strings = stored(clipped[1].mapInArrow(_hashed_strings, "w long, fp long, h1 long, h2 long, s long, n long"))
-    twice = strings.groupBy("w", "fp").agg(F.sum("n").alias("uses")).where("uses > 1").select("w", "fp")
-    by_hash = strings.where("n = 1").join(twice, ["w", "fp"]).select("h1", "h2", F.col("s").alias("lo"), F.col("s").alias("hi"))
-    spans = sure.unionByName(by_sort).unionByName(by_hash).groupBy("h1", "h2").agg(F.collect_list(F.struct("lo", "hi")).alias("r"))
+    by_sort = clipped[0].repartition(count, "fp").sortWithinPartitions("fp").mapInArrow(_sorted_buckets, "h1 long, h2 long, lo long, hi long")
+    by_group, by_hash = _counted(stored(clipped[1]))
+    spans = sure.unionByName(by_sort).unionByName(by_group).unionByName(by_hash).groupBy("h1", "h2").agg(F.collect_list(F.struct("lo", "hi")).alias("r"))
     return found.join(spans, ["h1", "h2"]).select("h1", "h2", "text", "r").mapInArrow(_keep, "h1 long, h2 long, n_removed long, n_spans long, kept binary")
 
 
