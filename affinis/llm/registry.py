@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, packing, pieces, quality, secrets, suffixes, suffixtree, topk, toxicity, urls
+from . import neardup, packing, pieces, quality, secrets, sql, suffixes, suffixtree, topk, toxicity, urls
 from .common import table
 
 
@@ -67,6 +67,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_top_k, op2_toxicity, op3_sentence_pieces, op4_packing, op5_secret_scan, op6_quality_rules, op7_url_filter, op8_near_duplicates, op9_suffix_array, op10_suffix_tree, pipeline)}
 ORACLES: dict[str, str] = {
+    "op5_secret_scan": sql.SECRETS,
+    "op6_quality_rules": sql.QUALITY,
     "op1_top_k": """
         with fine as (
             select vec_id, min([cast(floor(1024 * cast(x as double)) as bigint) for x in embedding]) as v
