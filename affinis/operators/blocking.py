@@ -34,7 +34,7 @@ def weights(toks: DataFrame, cap: float) -> tuple[DataFrame, DataFrame]:
     """
     pool, asked = toks.where("src <> 'S1'"), toks.where("src = 'S1'")
     size = pool.select("country", "id").distinct().groupBy("country").agg(F.count("*").alias("n"))
-    vocab = pool.groupBy("country", "tok").agg(F.count("*").alias("df")).join(F.broadcast(size), "country")  # a row per country
+    vocab = pool.groupBy("country", "tok").agg(F.count("*").alias("df")).join(size, "country")
     vocab = vocab.select("country", "tok", "df", "n", F.round((F.ln(F.col("n").cast("double")) - F.ln(F.col("df").cast("double"))) * 10000).cast("long").alias("q"))
     norm = F.sum(F.col("q") * F.col("q")).over(Window.partitionBy("id")).alias("norm2")
     keep = F.col("df") <= cap * F.col("n")

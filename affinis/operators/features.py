@@ -16,7 +16,7 @@ def record_features(records: DataFrame, tokens: str, prefix: str) -> DataFrame:
     pool = records.where("src <> 'S1'")
     size = pool.groupBy("country").agg(F.count("*").alias("n_pool"))
     df = pool.select("country", F.explode(F.array_distinct(tokens)).alias("tok")).groupBy("country", "tok").agg(F.count("*").alias("df"))
-    each = records.select("id", "country", F.explode(F.array_distinct(tokens)).alias("tok")).join(df, ["country", "tok"], "left").join(F.broadcast(size), "country", "left")
+    each = records.select("id", "country", F.explode(F.array_distinct(tokens)).alias("tok")).join(df, ["country", "tok"], "left").join(size, "country", "left")
     sums = each.groupBy("id").agg(F.count("*").alias(f"{prefix}_n"), F.sum(F.ln("n_pool") - F.ln(F.coalesce("df", F.lit(1)))).alias(f"{prefix}_idf"))
     return records.join(sums, "id", "left").na.fill(0, [f"{prefix}_n", f"{prefix}_idf"])
 
@@ -99,7 +99,7 @@ def pair_features(cands: DataFrame, records: DataFrame, views: tuple[str, ...])
     for prefix, tokens in (("a", "addr"), ("n", "name")):  # shared IDF mass
         df = records.where("src <> 'S1'").select("country", F.explode(F.array_distinct(tokens)).alias("tok")).groupBy("country", "tok").agg(F.count("*").alias("df"))
         n = records.where("src <> 'S1'").groupBy("country").agg(F.count("*").alias("n_pool"))
-        shared = d.select("s1_row", "pool_row", "country", F.explode(F.array_intersect(f"{tokens}_x", f"{tokens}_y")).alias("tok")).join(df, ["country", "tok"]).join(F.broadcast(n), "country")
+        shared = d.select("s1_row", "pool_row", "country", F.explode(F.array_intersect(f"{tokens}_x", f"{tokens}_y")).alias("tok")).join(df, ["country", "tok"]).join(n, "country")
         mass = shared.groupBy("s1_row", "pool_row").agg(F.sum(F.ln("n_pool") - F.ln("df")).alias(f"{prefix}_idf_shared"))
         d = d.join(mass, ["s1_row", "pool_row"], "left").na.fill(0.0, [f"{prefix}_idf_shared"])
         d = d.withColumn(f"{prefix}_idf_cont", safe_div(c(f"{prefix}_idf_shared"), F.least(f"{prefix}_idf_x", f"{prefix}_idf_y")))

@@ -22,7 +22,7 @@ def stratified(df: DataFrame, n: int, by: str, key: str, seed: str) -> DataFrame
     total = df.agg(F.count("*").alias("total"))
     quota = sizes.join(total.withColumn("one", F.lit(1)), F.lit(1) == F.col("one")).select(F.col(by).alias("stratum"), F.bround(F.lit(n) * F.col("size") / F.col("total")).cast("long").alias("quota"))
     rank = F.row_number().over(Window.partitionBy(by).orderBy(order_key(F.col(key), seed), key))
-    return df.withColumn("pick", rank).join(F.broadcast(quota), F.col(by).eqNullSafe(F.col("stratum"))).where("pick <= quota").select(*df.columns)
+    return df.withColumn("pick", rank).join(quota, F.col(by).eqNullSafe(F.col("stratum"))).where("pick <= quota").select(*df.columns)
 
 
 def splits(df: DataFrame, train: int, val: int, early: int, holdout: int, by: str, key: str) -> DataFrame:
