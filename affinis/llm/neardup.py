@@ -6,8 +6,8 @@ compared exhaustively, larger ones branch on, to DEPTH. Two documents of similar
 probability s**d in one tree, so with s = 0.85, depth 3 and eight trees 99.95 % of links are met, and nearly all where
 nodes are small after one step. Nodes that are large even then hold groups of near copies: their documents meet in blocks,
 each with the node's pivots, and when the links so found have been joined up, every document outside a node's largest
-component is compared with the whole node, block by block. Signatures choose what is compared; every link is confirmed
-on full sets. Within a block, pairs that are connected already are not compared again, so work and output stay linear.
+component is compared with the whole node, tile by tile. Signatures choose what is compared; every link is confirmed on full
+sets. Within a block, pairs that are connected already are not compared again, so work and output stay linear.
 
 Components come from minimum labels with pointer jumping. Nulls and edge cases: a text without words (or null) has no
 shingles and is linked with nothing; a text of fewer than five words is one shingle; rows that repeat an id are one
@@ -29,9 +29,11 @@ from .textops import mixed, sliced, word_hashes
 
 WORDS, PERCENT = 5, 85
 TREES, DEPTH, SMALL, PIVOTS = 8, 3, 24, 2
+#: Documents on each side of a tile, in which only documents of different components are compared.
+TILE = 512
 #: Coordinates of a signature, and the share of equal ones from which a pair is compared in full: four standard
 #: deviations below the threshold.
-COORDINATES, HOPEFUL = 64, 0.67
+COORDINATES, HOPEFUL = 128, 0.725
 
 _RNG = np.random.default_rng(77)
 _MULTIPLY = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,6 +168,42 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
 
 
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) across components in each tile; rows (block, v, label, sig, set) come sorted by block.
+
+    Only hopeful pairs of components that are still apart are compared in full.
+    """
+    def flush(rows: list[tuple]) -> list[tuple[int, int]]:
+        found, lead = [], {}
+        u, sig = Union(len(rows)), np.array([r[3] for r in rows], np.int32)
+        for i, r in enumerate(rows):
+            u.join(i, lead.setdefault(r[2], i))
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        for i in range(len(rows) - 1):
+            own = np.array([u.root(j) for j in range(len(rows))])
+            for j in (np.flatnonzero(((sig[i + 1 :] == sig[i]).mean(1) >= HOPEFUL) & (own[i + 1 :] != own[i])) + i + 1).tolist():
+                a, b = u.root(i), u.root(j)
+                if a != b and linked(sets[i], sets[j]):
+                    u.join(a, b)
+                    found.append((rows[i][1], rows[j][1]))
+        return found
+
+    def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    held: dict[int, tuple] = {}
+    now = None
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if r[0] != now and held:
+                yield links_of(flush(list(held.values())))
+                held = {}
+            now = r[0]
+            held[r[1]] = r
+    if held:
+        yield links_of(flush(list(held.values())))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(v, label) of each end of links (a, b): the smallest vertex that it is connected with."""
     both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
@@ -190,7 +228,7 @@ def _nodes(vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
     for level in range(DEPTH):
         if level:
             rows = large.select("v", "node").join(vertices, "v").select("v", F.xxhash64("node", token()).alias("node"))  # noqa: F821
-        sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        sizes = stored(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"))  # stored, so that a hot node's rows can be split
         sized = stored(rows.join(sizes, "node"))
         small.append(sized.where(F.col("size") <= SMALL).select("node", "v"))
         large = sized.where(F.col("size") > SMALL)
@@ -220,36 +258,49 @@ def links(texts: DataFrame, vertices: DataFrame) -> DataFrame:
     first = small.select(F.xxhash64("node", F.lit("small")).alias("block"), "v").union(parted.select(block, "v")).union(lead.select(block, "v"))
     members = stored(_compared(first, vertices.select("v", "sig")))
     found, sets = _confirm(members, texts, vertices)
-    labels = components(found)
-    named = large.join(labels, "v", "left").select("node", "v", "size", F.coalesce("label", "v").alias("label"))
+    more = _across(large, components(found), texts, vertices, sets)
+    return found if more is None else found.union(more)
+
+
+def _across(large: DataFrame, labels: DataFrame, texts: DataFrame, vertices: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """(a, b) links in large nodes of several components: documents outside the largest against the whole node."""
+    named = stored(large.join(labels, "v", "left").select("node", "v", "size", F.coalesce("label", "v").alias("label")))
     counts = named.groupBy("node", "label").agg(F.count("*").alias("n"))
-    main = counts.groupBy("node").agg(F.count("*").alias("kinds"), F.max(F.struct("n", "label"))["label"].alias("main")).where("kinds > 1").select("node", "main")
-    minor = stored(named.join(main, "node").where("label <> main").select("node", "v", "size"))
-    if minor.isEmpty():
-        return found
-    few = minor.groupBy("node").agg(F.count("*").alias("m"))
-    strips = minor.join(few, "node").select("node", "v", "size", F.pmod(F.xxhash64("v", F.lit("strip")), F.ceil(F.col("m") / SMALL).cast("long")).alias("strip"), F.ceil(F.col("m") / SMALL).cast("long").alias("strips"))
-    each = strips.select("node", "v", "strip", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / SMALL).cast("long") - 1)).alias("part"))
-    cross = parted.join(strips.select("node", "strips").distinct(), "node").select("node", "v", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("strips") - 1)).alias("strip"))
-    tile = F.xxhash64("node", "part", "strip", F.lit("tile")).alias("block")
-    rest = stored(_compared(each.select(tile, "v").union(cross.select(tile, "v")), vertices.select("v", "sig")))
-    more, _ = _confirm(rest, texts, vertices, sets)
-    return found.union(more)
-
-
-def _confirm(members: DataFrame, texts: DataFrame, vertices: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(links confirmed on full sets, the sets used); known: sets made before."""
-    each = members.select(F.xxhash64("members").alias("block"), F.explode("members").alias("v"))
-    wanted = each.select("v").distinct()
+    main = counts.groupBy("node").agg(F.count("*").alias("kinds"), F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top")).where("kinds > 1")
+    main = stored(main.select("node", F.col("top.label").alias("main"), F.ceil((F.col("size") - F.col("top.n")) / TILE).cast("long").alias("strips"), F.ceil(F.col("size") / TILE).cast("long").alias("parts")))
+    if main.isEmpty():
+        return None
+    whole = named.select("node", "v", "label").join(main, "node")
+    count = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    deal = lambda salt, c: F.pmod(F.xxhash64("v", F.lit(salt)), F.col(c))
+    minor = whole.where("label <> main").select("node", "v", "label", deal("strip", "strips").alias("strip"), count("parts").alias("part"))
+    every = whole.select("node", "v", "label", count("strips").alias("strip"), deal("part", "parts").alias("part"))
+    tile = F.xxhash64("node", "part", "strip").alias("block")
+    full = _fetched(whole.select("v").distinct(), texts, vertices, sets).join(vertices.select("v", "sig"), "v")
+    rows = minor.select(tile, "v", "label").union(every.select(tile, "v", "label")).join(full, "v").select("block", "v", "label", "sig", "set")
+    return stored(_gathered(rows).mapInArrow(_tiles, "a long, b long").distinct())
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(parts, "block").sortWithinPartitions("block", "v")
+
+
+def _fetched(wanted: DataFrame, texts: DataFrame, vertices: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(v, set) of the wanted vertices (v) from their whole texts; known: sets made before."""
     if known is not None:
         wanted = wanted.join(known.select("v"), "v", "left_anti")
     ids = wanted.join(vertices, "v").select("v", "id", "k1", "k2")
     read = texts.join(ids.select("id").distinct(), "id", "left_semi").select("text").mapInArrow(_sets, "k1 long, k2 long, set binary")
     sets = stored(read.join(ids.drop("id"), ["k1", "k2"]).select("v", "set").dropDuplicates(["v"]))
-    if known is not None:
-        sets = sets.union(known)
-    parts = max(2, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = each.join(sets, "v").select("block", "v", "set").repartition(parts, "block").sortWithinPartitions("block", "v")
+    return sets if known is None else sets.union(known)
+
+
+def _confirm(members: DataFrame, texts: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links confirmed on full sets, the sets used)."""
+    each = members.select(F.xxhash64("members").alias("block"), F.explode("members").alias("v"))
+    sets = _fetched(each.select("v").distinct(), texts, vertices)
+    rows = _gathered(each.join(sets, "v").select("block", "v", "set"))
     return stored(rows.mapInArrow(_confirmed, "a long, b long").distinct()), sets
 
 
