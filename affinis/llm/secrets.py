@@ -105,7 +105,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: C
     rows = cut(_candidates(df, id_col, text_col, empty if owner is None else F.coalesce(owner.cast("string"), empty), empty if repo is None else F.coalesce(repo.cast("string"), empty)))
     some = rows.where((F.size("base") > 0) | (F.size("more") > 0))
     each = some.select("row", "owner", "repo", F.explode(F.array_distinct(F.transform(F.concat("base", "more"), lambda x: x["h"]))).alias("h"))
-    verdict = ownership(each.select("h", "owner", "repo")).select("h", "live")
+    verdict = cut(ownership(each.select("h", "owner", "repo")).select("h", "live"))  # cut, so that a hot value's rows can be split
     live = each.select("row", "h").join(verdict, "h").where("live").groupBy("row").agg(F.collect_set("h").alias("live_h"))
     joined = rows.join(live, "row", "left")
     known = F.coalesce("live_h", F.array().cast("array<string>"))
