@@ -76,7 +76,8 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_co
     rows = cut(measured(df, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()))
     each = rows.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.n")
     once = rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    lost = each.join(boilerplate(once, max_docs), ["host", "h"]).groupBy("row").agg(F.sum("n").cast("long").alias("lost"))
+    frequent = cut(boilerplate(once, max_docs))  # cut, so that a hot line's rows can be split
+    lost = each.join(frequent, ["host", "h"]).groupBy("row").agg(F.sum("n").cast("long").alias("lost"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))
     return rows.join(lost, "row", "left").select(
