@@ -33,13 +33,21 @@ def shared_folder(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it from there: lost executors cost no recomputation."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    _let_go(df.sparkSession)
+    return out
+
+
+def _let_go(spark: SparkSession) -> None:
+    """Have the driver notice that the shuffles behind a stored result are garbage, so their files go now and not at its next collection."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Like cut(), as a Parquet table, which is smaller where columns repeat themselves."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _let_go(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -224,10 +224,10 @@ def _nodes(vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
     apart = COORDINATES // TREES  # the first branch of each tree has a coordinate of its own
     rows = vertices.select("v", "sig", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TREES - 1).cast("long"))).alias("tree"))
     rows = rows.select("v", F.xxhash64("tree", F.get("sig", (F.col("tree") * apart).cast("int"))).alias("node"))
-    small = []
-    for level in range(DEPTH):
-        if level:
-            rows = large.select("v", "node").join(vertices, "v").select("v", F.xxhash64("node", token()).alias("node"))  # noqa: F821
+    small, large = [], None
+    for _ in range(DEPTH):
+        if large is not None:
+            rows = large.select("v", "node").join(vertices, "v").select("v", F.xxhash64("node", token()).alias("node"))
         sizes = stored(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"))  # stored, so that a hot node's rows can be split
         sized = stored(rows.join(sizes, "node"))
         small.append(sized.where(F.col("size") <= SMALL).select("node", "v"))

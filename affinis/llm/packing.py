@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import sliced
+from .textops import sliced, trim
 
 #: Chunks of text whose ids each worker keeps; when full, it starts afresh.
-KEPT = 300_000
+KEPT = 100_000
 
 
 class ByteBpe:
@@ -157,6 +157,8 @@ def _worker(files: tuple[str, ...], capacity: int, end: int) -> Callable[[Iterat
                     for at, size in cuts(n, capacity):
                         yield from packer.add((doc, at, size, ids[4 * at : 4 * (at + size)], n))
             yield from packer.close()
+            tokenizer(*files).known.clear()
+            trim()
 
         return _batches(rows())
 

@@ -28,7 +28,7 @@ from .textops import sliced
 
 MODEL = "piece_bpe_32k.model"
 #: Chunks of text whose ids each worker keeps; when full, it starts afresh.
-KEPT = 300_000
+KEPT = 100_000
 _CHUNK = re.compile(" *[^ ]+| +")
 
 
@@ -145,6 +145,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", file:
         for b in sliced(batches):
             ids = [np.array(v.encode(t or ""), "<u4").tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+        v.known.clear()
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids binary")

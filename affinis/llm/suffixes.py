@@ -19,7 +19,6 @@ empty result; other input columns are ignored (clashing names are safe).
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -367,10 +366,8 @@ def dedup_texts(df: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     cut = cut_repeats(df.select(text.alias("text"))).select("h1", "h2", "kept").mapInArrow(_readable, "_cut_1 long, _cut_2 long, _cut_text string")
     h = hashes(text)
-    rows = df.withColumns({"_cut_1": h[0], "_cut_2": h[1]})
-    out = rows.join(cut, ["_cut_1", "_cut_2"], "left")
-    fresh = F.coalesce("_cut_text", F.col(text_col))
-    cols = {text_col: fresh}
+    out = df.withColumns({"_cut_1": h[0], "_cut_2": h[1]}).join(stored(cut), ["_cut_1", "_cut_2"], "left")
+    cols = {text_col: F.coalesce("_cut_text", F.col(text_col))}
     if "n_chars" in df.columns:
         cols["n_chars"] = F.when(F.col("_cut_text").isNotNull(), F.length("_cut_text").cast(df.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return out.select(*[cols[c].alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .textops import TERMS, rows_of, sliced, word_hashes
 
 #: Labelled rows that the fit may use, and the smallest number of them that must hold a word for it to be a feature.
-MAX_ROWS, MIN_ROWS = 10_000, 3
+MAX_ROWS, MIN_ROWS = 8000, 3
 BITS = 18
 
 
