@@ -1,10 +1,10 @@
 """Near-duplicate detection by a chosen-path set similarity join.
 
-Documents are sets of five-word shingles, and equal sets are one vertex. In each of TREES independent trees a node's documents
+Documents are sets of five-word shingles, and equal sets are one vertex. In each of several independent trees a node's documents
 branch by the minwise token of a coordinate that the path to the node chooses; nodes of up to SMALL documents are
 compared exhaustively, larger ones branch on, to DEPTH. Two documents of similarity s share a node of depth d with
-probability s**d in one tree, so with s = 0.85, depth 3 and eight trees 99.95 % of links are met, and nearly all where
-nodes are small after one step. Nodes that are large even then hold groups of near copies: their documents meet in blocks,
+probability s**d in one tree, so with depth 3 and the trees that the threshold asks for (8 at 0.85, 11 at 0.80) 99.95 % of
+links are met, and nearly all where nodes are small after one step. Nodes that are large even then hold groups of near copies: their documents meet in blocks,
 each with the node's pivots, and when the links so found have been joined up, every document outside a node's largest
 component is compared with the whole node, tile by tile. Signatures choose what is compared; every link is confirmed on full
 sets. Within a block, pairs that are connected already are not compared again, so work and output stay linear.
@@ -17,7 +17,8 @@ an empty table gives an empty result; other input columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +29,11 @@ from .common import cut, stacked, stored
 from .textops import mixed, sliced, word_hashes
 
 WORDS, PERCENT = 5, 85
-TREES, DEPTH, SMALL, PIVOTS = 8, 3, 24, 2
+DEPTH, SMALL, PIVOTS = 3, 24, 2
 #: Documents on each side of a tile, in which only documents of different components are compared.
 TILE = 512
-#: Coordinates of a signature, and the share of equal ones from which a pair is compared in full: four standard
-#: deviations below the threshold.
-COORDINATES, HOPEFUL = 128, 0.725
+#: Coordinates of a signature, and the share of links at the threshold that no tree may meet.
+COORDINATES, UNMET = 128, 5e-4
 
 _RNG = np.random.default_rng(77)
 _MULTIPLY = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -41,6 +41,17 @@ _FLIP = _RNG.integers(0, 2**63, COORDINATES, dtype=np.uint64)
 _PLACE = _RNG.integers(0, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def trees_for(percent: int) -> int:
+    """Trees that leave at most UNMET of the links at the threshold unmet where all nodes are large."""
+    return math.ceil(math.log(UNMET) / math.log1p(-((percent / 100) ** DEPTH)))
+
+
+def least_equal(percent: int) -> float:
+    """The share of equal coordinates from which a pair is compared in full: four standard deviations below the threshold."""
+    s = percent / 100
+    return s - 4 * math.sqrt(s * (1 - s) / COORDINATES)
+
+
 def shingle_sets(texts: pa.Array, size: int = WORDS) -> Iterator[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles."""
     w, first = word_hashes(texts)
@@ -102,11 +113,11 @@ class Union:
         self.up[max(i, j)] = min(i, j)
 
 
-def hopeful(sig: np.ndarray) -> list[list[int]]:
+def hopeful(sig: np.ndarray, percent: int = PERCENT) -> list[list[int]]:
     """Groups of rows of sig that chains of hopeful pairs connect; single rows left out."""
-    u = Union(len(sig))
+    u, least = Union(len(sig)), least_equal(percent)
     for i in range(len(sig) - 1):
-        for j in (np.flatnonzero((sig[i + 1 :] == sig[i]).mean(1) >= HOPEFUL) + i + 1).tolist():
+        for j in (np.flatnonzero((sig[i + 1 :] == sig[i]).mean(1) >= least) + i + 1).tolist():
             a, b = u.root(i), u.root(j)
             if a != b:
                 u.join(a, b)
@@ -116,15 +127,19 @@ def hopeful(sig: np.ndarray) -> list[list[int]]:
     return [g for g in groups.values() if len(g) > 1]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Members to compare in full, from the signatures of a block's documents."""
-    for b in batches:
-        out = []
-        for block in b.column(0).to_pylist():
-            v = [x["v"] for x in block]
-            sig = np.array([x["sig"] for x in block], np.int32)
-            out += [sorted({v[i] for i in g}) for g in hopeful(sig)]
-        yield pa.RecordBatch.from_arrays([pa.array([x for x in out if len(x) > 1], pa.list_(pa.int64()))], ["members"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for block in b.column(0).to_pylist():
+                v = [x["v"] for x in block]
+                sig = np.array([x["sig"] for x in block], np.int32)
+                out += [sorted({v[i] for i in g}) for g in hopeful(sig, percent)]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x in out if len(x) > 1], pa.list_(pa.int64()))], ["members"])
+
+    return run
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -137,71 +152,78 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * shared >= percent * (len(both) - shared)
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _confirmed(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Links (a, b), a spanning forest of each block; rows (block, v, set) come sorted by block."""
 
-    def flush(v: list[int], sets: list[bytes], out: list[list[int]]) -> None:
-        own = [np.frombuffer(s, np.uint64) for s in sets]
-        u = Union(len(v))
-        for i in range(len(v)):
-            for j in range(i + 1, len(v)):
-                a, b = u.root(i), u.root(j)
-                if a != b and linked(own[i], own[j]):
-                    u.join(a, b)
-                    out[0].append(v[i])
-                    out[1].append(v[j])
-
-    now, v, sets = None, [], []
-    for b in batches:
-        out: list[list[int]] = [[], []]
-        for block, x, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if block != now and v:
-                flush(v, sets, out)
-                v, sets = [], []
-            now = block
-            v.append(x)
-            sets.append(s)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
-    if v:
-        out = [[], []]
-        flush(v, sets, out)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
-
-
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(v: list[int], sets: list[bytes], out: list[list[int]]) -> None:
+            own = [np.frombuffer(s, np.uint64) for s in sets]
+            u = Union(len(v))
+            for i in range(len(v)):
+                for j in range(i + 1, len(v)):
+                    a, b = u.root(i), u.root(j)
+                    if a != b and linked(own[i], own[j], percent):
+                        u.join(a, b)
+                        out[0].append(v[i])
+                        out[1].append(v[j])
+
+        now, v, sets = None, [], []
+        for b in batches:
+            out: list[list[int]] = [[], []]
+            for block, x, s in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if block != now and v:
+                    flush(v, sets, out)
+                    v, sets = [], []
+                now = block
+                v.append(x)
+                sets.append(s)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
+        if v:
+            out = [[], []]
+            flush(v, sets, out)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
+
+    return run
+
+
+def _tiles(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Links (a, b) across components in each tile; rows (block, v, label, sig, set) come sorted by block.
 
     Only hopeful pairs of components that are still apart are compared in full.
     """
-    def flush(rows: list[tuple]) -> list[tuple[int, int]]:
-        found, lead = [], {}
-        u, sig = Union(len(rows)), np.array([r[3] for r in rows], np.int32)
-        for i, r in enumerate(rows):
-            u.join(i, lead.setdefault(r[2], i))
-        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
-        for i in range(len(rows) - 1):
-            own = np.array([u.root(j) for j in range(len(rows))])
-            for j in (np.flatnonzero(((sig[i + 1 :] == sig[i]).mean(1) >= HOPEFUL) & (own[i + 1 :] != own[i])) + i + 1).tolist():
-                a, b = u.root(i), u.root(j)
-                if a != b and linked(sets[i], sets[j]):
-                    u.join(a, b)
-                    found.append((rows[i][1], rows[j][1]))
-        return found
-
-    def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    held: dict[int, tuple] = {}
-    now = None
-    for b in batches:
-        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if r[0] != now and held:
-                yield links_of(flush(list(held.values())))
-                held = {}
-            now = r[0]
-            held[r[1]] = r
-    if held:
-        yield links_of(flush(list(held.values())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush(rows: list[tuple]) -> list[tuple[int, int]]:
+            found, lead, least = [], {}, least_equal(percent)
+            u, sig = Union(len(rows)), np.array([r[3] for r in rows], np.int32)
+            for i, r in enumerate(rows):
+                u.join(i, lead.setdefault(r[2], i))
+            sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+            for i in range(len(rows) - 1):
+                own = np.array([u.root(j) for j in range(len(rows))])
+                for j in (np.flatnonzero(((sig[i + 1 :] == sig[i]).mean(1) >= least) & (own[i + 1 :] != own[i])) + i + 1).tolist():
+                    a, b = u.root(i), u.root(j)
+                    if a != b and linked(sets[i], sets[j], percent):
+                        u.join(a, b)
+                        found.append((rows[i][1], rows[j][1]))
+            return found
+
+        def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        held: dict[int, tuple] = {}
+        now = None
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if r[0] != now and held:
+                    yield links_of(flush(list(held.values())))
+                    held = {}
+                now = r[0]
+                held[r[1]] = r
+        if held:
+            yield links_of(flush(list(held.values())))
+
+    return run
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -218,11 +240,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _nodes(vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _nodes(vertices: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
     """(node, v) of small nodes of all trees, and (node, v, size) of those that are large at the last level."""
     token = lambda: F.get("sig", F.pmod(F.xxhash64(F.col("node")), F.lit(COORDINATES)).cast("int"))
-    apart = COORDINATES // TREES  # the first branch of each tree has a coordinate of its own
-    rows = vertices.select("v", "sig", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(TREES - 1).cast("long"))).alias("tree"))
+    apart = COORDINATES // trees  # the first branch of each tree has a coordinate of its own
+    rows = vertices.select("v", "sig", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(trees - 1).cast("long"))).alias("tree"))
     rows = rows.select("v", F.xxhash64("tree", F.get("sig", (F.col("tree") * apart).cast("int"))).alias("node"))
     small, large = [], None
     for _ in range(DEPTH):
@@ -235,10 +257,10 @@ def _nodes(vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stacked(small), large
 
 
-def _compared(blocks: DataFrame, vertices: DataFrame) -> DataFrame:
+def _compared(blocks: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """(members) to confirm, from (block, v)."""
     full = blocks.join(vertices, "v").groupBy("block").agg(F.collect_list(F.struct("v", "sig")).alias("m"))
-    return full.select("m").mapInArrow(_blocks, "members array<long>").distinct()
+    return full.select("m").mapInArrow(_blocks(percent), "members array<long>").distinct()
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
@@ -247,22 +269,22 @@ def _in_blocks(large: DataFrame) -> DataFrame:
     return large.select("node", "v", "size", F.pmod(F.xxhash64("v", "node"), parts).alias("part"), parts.alias("parts"))
 
 
-def links(texts: DataFrame, vertices: DataFrame) -> DataFrame:
+def links(texts: DataFrame, vertices: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b) links that connect every component; vertices: (v, id, k1, k2, sig); texts: (id, text)."""
-    small, large = _nodes(vertices.select("v", "sig"))
+    small, large = _nodes(vertices.select("v", "sig"), trees_for(percent))
     parted = _in_blocks(large)
     lead = large.groupBy("node", "size").agg(*[F.min(F.struct(F.xxhash64(F.lit(k), "v"), "v")).alias(f"p{k}") for k in range(PIVOTS)])
     lead = lead.select("node", F.ceil(F.col("size") / SMALL).cast("long").alias("parts"), F.explode(F.array(*[F.col(f"p{k}.v") for k in range(PIVOTS)])).alias("v"))
     lead = lead.select("node", "v", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     block = F.xxhash64("node", "part").alias("block")
     first = small.select(F.xxhash64("node", F.lit("small")).alias("block"), "v").union(parted.select(block, "v")).union(lead.select(block, "v"))
-    members = stored(_compared(first, vertices.select("v", "sig")))
-    found, sets = _confirm(members, texts, vertices)
-    more = _across(large, components(found), texts, vertices, sets)
+    members = stored(_compared(first, vertices.select("v", "sig"), percent))
+    found, sets = _confirm(members, texts, vertices, percent)
+    more = _across(large, components(found), texts, vertices, sets, percent)
     return found if more is None else found.union(more)
 
 
-def _across(large: DataFrame, labels: DataFrame, texts: DataFrame, vertices: DataFrame, sets: DataFrame) -> DataFrame | None:
+def _across(large: DataFrame, labels: DataFrame, texts: DataFrame, vertices: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(a, b) links in large nodes of several components: documents outside the largest against the whole node."""
     named = stored(large.join(labels, "v", "left").select("node", "v", "size", F.coalesce("label", "v").alias("label")))
     counts = named.groupBy("node", "label").agg(F.count("*").alias("n"))
@@ -278,7 +300,7 @@ def _across(large: DataFrame, labels: DataFrame, texts: DataFrame, vertices: Dat
     tile = F.xxhash64("node", "part", "strip").alias("block")
     full = _fetched(whole.select("v").distinct(), texts, vertices, sets).join(vertices.select("v", "sig"), "v")
     rows = minor.select(tile, "v", "label").union(every.select(tile, "v", "label")).join(full, "v").select("block", "v", "label", "sig", "set")
-    return stored(_gathered(rows).mapInArrow(_tiles, "a long, b long").distinct())
+    return stored(_gathered(rows).mapInArrow(_tiles(percent), "a long, b long").distinct())
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
@@ -296,16 +318,16 @@ def _fetched(wanted: DataFrame, texts: DataFrame, vertices: DataFrame, known: Da
     return sets if known is None else sets.union(known)
 
 
-def _confirm(members: DataFrame, texts: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _confirm(members: DataFrame, texts: DataFrame, vertices: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(links confirmed on full sets, the sets used)."""
     each = members.select(F.xxhash64("members").alias("block"), F.explode("members").alias("v"))
     sets = _fetched(each.select("v").distinct(), texts, vertices)
     rows = _gathered(each.join(sets, "v").select("block", "v", "set"))
-    return stored(rows.mapInArrow(_confirmed, "a long, b long").distinct()), sets
+    return stored(rows.mapInArrow(_confirmed(percent), "a long, b long").distinct()), sets
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id, kept."""
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row per input row: id, n_shingles, component_id, kept; links are pairs of a similarity of at least percent."""
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = stored(texts.mapInArrow(_profiles, "id long, n long, k1 long, k2 long, sig array<int>"))
     real = rows.where("n > 0 and id is not null")
@@ -316,7 +338,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = real.select("id", "k1", "k2").join(classes.select("k1", "k2", "v"), ["k1", "k2"])
     ends = member.groupBy("id").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least < most").select("id", "least")
     same = member.join(ends, "id").where("v <> least").select(F.col("least").alias("a"), F.col("v").alias("b"))
-    labels = components(links(texts, vertices).union(same))
+    labels = components(links(texts, vertices, percent).union(same))
     smallest = labels.join(classes.select("v", "id"), "v").groupBy("label").agg(F.min("id").alias("component"))
     labels = labels.join(smallest, "label").select("v", "component")
     own = classes.select("k1", "k2", "v", F.col("id").alias("first")).join(labels, "v", "left").select("k1", "k2", F.coalesce("component", "first").alias("component"))
@@ -325,8 +347,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return named.select("id", F.col("n").alias("n_shingles"), label.alias("component_id"), F.coalesce(F.col("id") == label, F.lit(True)).alias("kept"))
 
 
-def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """df with one document of each group of near duplicates: that of the smallest id."""
-    kept = near_duplicates(df, id_col, text_col).where("kept and id is not null").select(F.col("id").alias("_kept_id")).distinct()
+    kept = near_duplicates(df, id_col, text_col, percent).where("kept and id is not null").select(F.col("id").alias("_kept_id")).distinct()
     held = df.join(kept, df[id_col] == F.col("_kept_id"), "left_semi")
     return held.unionByName(df.where(F.col(id_col).isNull()))

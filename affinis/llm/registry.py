@@ -44,7 +44,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).withColumnRenamed("id", "doc_id")
 
 
 def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from affinis.llm import neardup, packing, secrets, suffixes, toxicity
 from affinis.llm.common import shared_folder, table
 
+#: Near duplicates of the stage: word shingles that agree from this similarity on.
+PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -25,7 +28,7 @@ def toxic_documents_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.without_copies(docs)
+    return neardup.without_copies(docs, percent=PERCENT)
 
 
 def repeated_passages_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

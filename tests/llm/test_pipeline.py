@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
-from affinis.llm import packing
+from affinis.llm import neardup, packing
 
 SF = "/root/testdata/sf0.001"
 TOXIC = "You idiot clown. Pathetic worthless trash, stupid moron loser scum. "
@@ -52,3 +52,19 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_near_copies_from_80_percent_on_go(spark):
+    rows = []
+    for k in range(40):  # two scattered edits in 120 words: 106 of 126 shingles, 0.84; four in 180: 156 of 196, 0.796
+        for base, size, edits in ((10_000, 120, (30, 80)), (20_000, 180, (20, 60, 100, 140))):
+            words = [f"d{k}s{size}w{i}" for i in range(size)]
+            copy = [f"edit{i}" if i in edits else w for i, w in enumerate(words)]
+            rows += [(base + 2 * k, " ".join(words)), (base + 2 * k + 1, " ".join(copy))]
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()}
+    assert kept == {10_000 + 2 * k for k in range(40)} | {20_000 + k for k in range(80)}
+
+
+def test_search_follows_the_threshold():
+    assert [neardup.trees_for(p) for p in (85, 80)] == [8, 11]
+    assert all(round(s, 3) == t for s, t in ((neardup.least_equal(85), 0.724), (neardup.least_equal(80), 0.659)))
