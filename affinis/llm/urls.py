@@ -13,6 +13,8 @@ ignored.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ from .common import ascii_lower, cut
 # Fixed values of the contract: verdict and rule (host, then path).
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 
-DAMPING, ROUNDS, ENOUGH = 0.85, 12, 1e-4
+#: The change of a host's rank, as a share of that rank, at which it has settled; ranks from LEAST on are looked at.
+DAMPING, ENOUGH, LEAST = 0.85, 1e-6, 1e-300
 #: A host's distrust may be this share of its trust and distrust together.
 MAX_DISTRUST = 0.5
 
@@ -54,21 +57,22 @@ def edges(pages: DataFrame, host: Column, html_col: str = "html") -> DataFrame:
     return pairs.join(out, "src").select("src", "dst", (1.0 / F.col("out")).alias("w"))
 
 
-def spread(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, enough: float = ENOUGH) -> DataFrame:
+def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None, enough: float = ENOUGH) -> DataFrame:
     """(host, rank): personalised PageRank over links (src, dst, w) from seeds (host, seed), whose weights sum to one.
 
-    Each round is one join and one pre-aggregated sum, cut from its lineage; it ends when the ranks move by less than
-    enough in all. Mass that reaches a host without links returns to the seeds.
+    Each round is one join and one pre-aggregated sum, cut from its lineage; it ends when no host's rank
+    moves by more than enough of itself (a host reached for the first time moves by all of it), or after rounds if given.
+    Mass that reaches a host without links returns to the seeds.
     """
     ranks = cut(seeds.select("host", "seed", F.col("seed").alias("rank")))
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         flow = links.join(ranks, links.src == ranks.host).groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("got"))
         moved = ranks.join(flow, ranks.host == flow.dst, "full").select(F.coalesce("host", "dst").alias("host"), F.coalesce("seed", F.lit(0.0)).alias("seed"), F.coalesce("rank", F.lit(0.0)).alias("was"), F.coalesce("got", F.lit(0.0)).alias("got"))
         moved = cut(moved)
         total = moved.agg(F.sum("got")).first()[0] or 0.0
         fresh = moved.withColumn("rank", F.col("seed") * (1 - DAMPING * total) + DAMPING * F.col("got"))
         ranks = fresh.select("host", "seed", "rank")
-        if (fresh.agg(F.sum(F.abs(F.col("rank") - F.col("was")))).first()[0] or 0.0) < enough:
+        if fresh.where((F.abs(F.col("rank") - F.col("was")) > enough * F.col("rank")) & (F.greatest("rank", "was") > LEAST)).isEmpty():
             break
     return ranks.select("host", "rank")
 
@@ -87,7 +91,8 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     against = links.groupBy("dst").agg(F.count("*").alias("n"))
     turned = links.join(against, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), (1.0 / F.col("n")).alias("w"))
     distrust = spread(turned, seeds[1]).withColumnRenamed("rank", "distrust")
-    scored = trust.join(distrust, "host", "full").select("host", *[F.round(F.coalesce(c, F.lit(0.0)), 12).alias(c) for c in ("trust", "distrust")])
+    tidy = lambda c: F.format_string("%.9e", F.coalesce(c, F.lit(0.0))).cast("double")  # noqa: E731  # ten digits of any rank, however small
+    scored = trust.join(distrust, "host", "full").select("host", *[tidy(c).alias(c) for c in ("trust", "distrust")])
     zero = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("trust", "distrust")]
     both = rows.join(scored, "host", "left").select("id", "host", "path", "rule", "ruling", *zero)
     own = F.when(F.col("distrust") > max_distrust * (F.col("trust") + F.col("distrust")), F.lit("block")).otherwise(F.lit("allow"))

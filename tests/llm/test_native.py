@@ -113,6 +113,13 @@ def test_pagerank_against_power_iteration(spark):
     assert all(abs(rank[h] - got[h]) < 1e-6 for h in "abcd")
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    pages = [(0, "http://example.org/es/x", "")] + [(k, f"http://h{k}.net/", f'<a href="http://{f"h{k - 1}.net" if k > 1 else "example.org"}/">') for k in range(1, 17)]
+    got = {r.id: r for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k].verdict == "block" and got[k].distrust > 0 and got[k].trust == 0 for k in range(1, 17))
+    assert all(abs(got[k].distrust / got[k - 1].distrust - 0.85) < 1e-4 for k in range(1, 17))
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert secrets.scan(docs).count() == 0 and quality.judge(docs).count() == 0 and secrets.redact(docs).count() == 0
