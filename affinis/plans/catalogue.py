@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fuzzy, numeric, text
 from ..operators import blocking, decide, features, model, truthset
-from .relations import records, scored, spine, table, truth
+from .relations import ADDRESS_TOKENS, records, scored, spine, table, truth
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,6 +66,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def _bounded(spark: SparkSession, d: str) -> DataFrame:
+    """The records that the SQL forms cut: 16 words of address."""
+    return records(spark, d, ADDRESS_TOKENS)
+
+
 def _rounded(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in cols})
 
@@ -565,8 +571,8 @@ def _(spark, d):
 
 
 @query("o089_views", f"with {RECS}, {ALL_TOKENS} select country, src, count(*) as n, count(distinct tok) as words from toks where tok <> '' group by all")
-def _(spark, d):
-    return blocking.tokens(records(spark, d), "W_all").groupBy("country", "src").agg(F.count("*").alias("n"), F.countDistinct("tok").alias("words"))
+def _(spark, d, rows=_bounded):
+    return blocking.tokens(rows(spark, d), "W_all").groupBy("country", "src").agg(F.count("*").alias("n"), F.countDistinct("tok").alias("words"))
 
 
 @query("o091_concat", "select conv_id, turn, concat_ws(' | ', role, nullif(text, '')) as line from conversations")
@@ -614,10 +620,10 @@ def _(spark, d):
 
 
 @query("o104_list_ops", f"with {RECS} select id, len(list_distinct(name)) as n, len(list_distinct(list_intersect(name, addr))) as shared, name[1] as head, coalesce(array_to_string(addr[-2:], ' '), '') as tail, list_contains(name, 'the') as has_the from recs")
-def _(spark, d):
+def _(spark, d, rows=_bounded):
     tail = F.slice("addr", F.greatest(F.size("addr") - 1, F.lit(1)), F.lit(2))
     n = lambda c: F.size(c).cast("long")
-    return records(spark, d).select("id", n(F.array_distinct("name")).alias("n"), n(F.array_intersect("name", "addr")).alias("shared"), F.get("name", F.lit(0)).alias("head"), F.array_join(tail, " ").alias("tail"), F.array_contains("name", "the").alias("has_the"))
+    return rows(spark, d).select("id", n(F.array_distinct("name")).alias("n"), n(F.array_intersect("name", "addr")).alias("shared"), F.get("name", F.lit(0)).alias("head"), F.array_join(tail, " ").alias("tail"), F.array_contains("name", "the").alias("has_the"))
 
 
 @query("o109_cosine", """select a.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as cos from embeddings a join embeddings b on b.vec_id = a.vec_id + 1""")
@@ -652,8 +658,8 @@ def idf_top_k(spark, d):
 
 
 @query("o115_all_view_topk", f"with {RECS}, {ALL_TOKENS}, {WEIGHTS.format(cap=0.05)}, {TOP.format(k=10)} select s1_row, pool_row, country, round(score, 9) as score from cands")
-def _(spark, d):
-    return _rounded(blocking.top_k(records(spark, d), "W_all", 10).drop("rank"), "score", places=9)
+def _(spark, d, rows=_bounded):
+    return _rounded(blocking.top_k(rows(spark, d), "W_all", 10).drop("rank"), "score", places=9)
 
 
 def _blocked(spark, d):
@@ -672,20 +678,25 @@ def _two(cap: int) -> str:
 
 
 @query("o064_capped_union", _two(12))
-def _(spark, d):
-    r = records(spark, d)
+def _(spark, d, rows=_bounded):
+    r = rows(spark, d)
     m = blocking.merged({"n": blocking.top_k(r, "W_name", 10), "a": blocking.top_k(r, "W_all", 10)}, 12)
     return m.select("s1_row", "pool_row", *[F.col(c).cast("long").alias(c) for c in ("cand_pos", "rank_n", "rank_a")])
 
 
 @query("o119_reverse_competition", f"with m as ({_two(12)}) select s1_row, pool_row, rank() over (partition by pool_row order by rank_a is null, rank_a) as rc from m")
-def _(spark, d):
-    r = records(spark, d)
+def _(spark, d, rows=_bounded):
+    r = rows(spark, d)
     m = blocking.merged({"n": blocking.top_k(r, "W_name", 10), "a": blocking.top_k(r, "W_all", 10)}, 12)
     order = Window.partitionBy("pool_row").orderBy(F.col("rank_a").isNull(), "rank_a")
     return m.select("s1_row", "pool_row", F.rank().over(order).cast("long").alias("rc"))
 
 
+#: Those that their SQL binds to the bounded records, over whole texts.
+for _name in ("o064_capped_union", "o089_views", "o104_list_ops", "o115_all_view_topk", "o119_reverse_competition"):
+    QUERIES[f"{_name}_whole"] = functools.partial(QUERIES[_name], rows=records)
+
+
 @query("o116_recall")
 def _(spark, d):
     r = records(spark, d)

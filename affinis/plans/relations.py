@@ -12,12 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, country, src, name, addr): documents as records; name and addr are token arrays. Every fourth is a query."""
+def records(spark: SparkSession, sf_dir: str, address_tokens: int | None = None) -> DataFrame:
+    """(id, country, src, name, addr): documents as records; name and addr are token arrays. Every fourth is a query.
+
+    addr holds all words after the name, or the first address_tokens of them.
+    """
     tokens = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     kind = F.col("doc_id") % 4
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("country"), F.when(kind == 0, "S1").when(kind == 3, "S3").otherwise("S2").alias("src"), F.slice(tokens, 1, NAME_TOKENS + ADDRESS_TOKENS).alias("t"))
-    return docs.select("id", "country", "src", F.slice("t", 1, NAME_TOKENS).alias("name"), F.slice("t", NAME_TOKENS + 1, ADDRESS_TOKENS).alias("addr"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("country"), F.when(kind == 0, "S1").when(kind == 3, "S3").otherwise("S2").alias("src"), tokens.alias("t"))
+    return docs.select("id", "country", "src", F.slice("t", 1, NAME_TOKENS).alias("name"), F.slice("t", F.lit(NAME_TOKENS + 1), F.size("t") if address_tokens is None else F.lit(address_tokens)).alias("addr"))
 
 
 def scored(spark: SparkSession, sf_dir: str, contended: bool = True) -> DataFrame:
