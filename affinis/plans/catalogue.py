@@ -662,9 +662,13 @@ def _(spark, d, rows=_bounded):
     return _rounded(blocking.top_k(rows(spark, d), "W_all", 10).drop("rank"), "score", places=9)
 
 
+#: The reference's candidates of each view and of each query, and its band of pairs that the expensive scorer sees.
+K, MAX_CANDIDATES, BAND = 40, 50, (0.002, 0.998)
+
+
 def _blocked(spark, d):
     r = records(spark, d)
-    return blocking.merged({v: blocking.top_k(r, v, 10) for v in ("W_all", "C_all")}, 15)
+    return blocking.merged({v: blocking.top_k(r, v, K) for v in ("W_all", "C_all")}, MAX_CANDIDATES)
 
 
 def _two(cap: int) -> str:
@@ -755,7 +759,7 @@ def _(spark, d):
 @query("o131_plugin_score")
 def _(spark, d):
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("pool_row"), F.col("p_name").alias("a"), F.col("p_type").alias("b"))
-    return model.in_band(scored(spark, d).join(parts, "pool_row").select("s1_row", "pool_row", "p", "a", "b"), 0.45, 0.55).drop("a", "b")
+    return model.in_band(scored(spark, d).join(parts, "pool_row").select("s1_row", "pool_row", "p", "a", "b"), *BAND).drop("a", "b")
 
 
 @query("o130_train_pairs", f"""with {PAIRS}, c as (select *, case when p between 0.3 and 0.7 then 0 when label = 1 then 1 else 2 end as kind from pairs)
