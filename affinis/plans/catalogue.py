@@ -545,6 +545,12 @@ def _(spark, d):
     return text.memoized(docs, "text", "folded", text.to_latin, F.col("text").rlike(r"[^\x00-\x7f]")).select("doc_id", F.md5("folded").alias("folded"))
 
 
+@query("o030_distinct_memo_fold_whole")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return text.memoized(docs, "text", "folded", text.to_latin, F.col("text").rlike(r"[^\x00-\x7f]")).select("doc_id", F.md5("folded").alias("folded"))
+
+
 @query("o083_script", r"select doc_id, case when not regexp_matches(text, '[^\x00-\x7f]') then 'ascii' when regexp_matches(text, '[^\x00-\x7f\p{Latin}\p{M}]') then 'other' else 'latin_accented' end as script from documents")
 def _(spark, d):
     docs = table(spark, d, "documents")
