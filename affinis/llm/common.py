@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 #: Word separators of every contract: space and the ASCII controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -20,35 +22,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that driver and executors share.
+    """The checkpoint folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    It is spark.checkpoint.dir of the session; a temporary one is set only where that is unset (local tests).
+    Where that is unset, a session on one machine (master local) gets a folder of its own; any other must set it.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        path = sc.getConf().get("spark.checkpoint.dir")
+        if not path and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it from there: lost executors cost no recomputation."""
-    shared_folder(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    _let_go(df.sparkSession)
-    return out
-
-
-def _let_go(spark: SparkSession) -> None:
-    """Have the driver notice that the shuffles behind a stored result are garbage, so their files go now and not at its next collection."""
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def _shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Queries that start in this block delete their shuffle files when they end, not at the driver's next collection."""
+    was = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, was)
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Like cut(), as a Parquet table, which is smaller where columns repeat themselves."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _let_go(df.sparkSession)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write df to the shared folder and read it from there: lineage ends, so lost executors cost no recomputation."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    with _shuffles_go(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

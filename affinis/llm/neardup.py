@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, stacked, stored
+from .common import dropped, stacked, stored
 from .textops import mixed, sliced, word_hashes
 
 WORDS, PERCENT = 5, 85
@@ -228,13 +228,13 @@ def _tiles(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 def components(links: DataFrame) -> DataFrame:
     """(v, label) of each end of links (a, b): the smallest vertex that it is connected with."""
-    both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
+    both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = stored(both.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
     while True:
         near = both.join(labels, both.a == labels.v).groupBy("b").agg(F.min("label").alias("near"))
         fresh = labels.join(near, labels.v == near.b, "left").select("v", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("v").alias("up_v"), F.col("label").alias("up"))
-        moved = cut(fresh.join(up, fresh.label == up.up_v, "left").select("v", "was", F.least("label", "up").alias("label")))
+        moved = stored(fresh.join(up, fresh.label == up.up_v, "left").select("v", "was", F.least("label", "up").alias("label")))
         labels = moved.select("v", "label")
         if moved.where("label <> was").isEmpty():
             return labels

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, ascii_lower, cut, let
+from .common import SPACE, WORD, ascii_lower, let, stored
 
 #: More documents of one host than this make a line boilerplate.
 MAX_DOCS = 10
@@ -73,10 +73,10 @@ def boilerplate(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
 
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per input row: the statistics, base_failed, n_left (words outside boilerplate lines) and kept."""
-    rows = cut(measured(df, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()))
+    rows = stored(measured(df, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()))
     each = rows.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.n")
     once = rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    frequent = cut(boilerplate(once, max_docs))  # cut, so that a hot line's rows can be split
+    frequent = stored(boilerplate(once, max_docs))  # cut, so that a hot line's rows can be split
     lost = each.join(frequent, ["host", "h"]).groupBy("row").agg(F.sum("n").cast("long").alias("lost"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))

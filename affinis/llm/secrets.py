@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, let
+from .common import let, stored
 
 # Fixed values of the contract: the kinds in order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "generic")
@@ -102,10 +102,10 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: C
     example count the base spans whose value is owner-specific or copied about.
     """
     empty = F.lit("")
-    rows = cut(_candidates(df, id_col, text_col, empty if owner is None else F.coalesce(owner.cast("string"), empty), empty if repo is None else F.coalesce(repo.cast("string"), empty)))
+    rows = stored(_candidates(df, id_col, text_col, empty if owner is None else F.coalesce(owner.cast("string"), empty), empty if repo is None else F.coalesce(repo.cast("string"), empty)))
     some = rows.where((F.size("base") > 0) | (F.size("more") > 0))
     each = some.select("row", "owner", "repo", F.explode(F.array_distinct(F.transform(F.concat("base", "more"), lambda x: x["h"]))).alias("h"))
-    verdict = cut(ownership(each.select("h", "owner", "repo")).select("h", "live"))  # cut, so that a hot value's rows can be split
+    verdict = stored(ownership(each.select("h", "owner", "repo")).select("h", "live"))  # cut, so that a hot value's rows can be split
     live = each.select("row", "h").join(verdict, "h").where("live").groupBy("row").agg(F.collect_set("h").alias("live_h"))
     joined = rows.join(live, "row", "left")
     known = F.coalesce("live_h", F.array().cast("array<string>"))
@@ -149,7 +149,7 @@ def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     may = ((F.instr(text, ":") > 0) | (F.instr(text, "=") > 0)) & text.rlike(ASSIGN) | (F.instr(text, "AKIA") > 0) | text.rlike(HEX) | text.rlike(r"[A-Za-z0-9+/_=-]{24,}") & text.rlike("[0-9]")
-    rows = cut(df.where(may).select(F.monotonically_increasing_id().alias("_secret_row"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_secret_doc")))
+    rows = stored(df.where(may).select(F.monotonically_increasing_id().alias("_secret_row"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_secret_doc")))
     inner = rows.select("_secret_row", F.col("_secret_doc")[text_col].alias("text"), F.col("_secret_doc")[owner_col].alias("owner"), F.concat_ws("/", F.col("_secret_doc")[owner_col], F.col("_secret_doc")[repo_col]).alias("repo"))
     found = scan(inner, "_secret_row", "text", F.col("owner"), F.col("repo")).select(F.col("id").alias("_secret_row"), F.sort_array(F.concat("base", "more")).alias("_secret_spans"))
     blot = redacted(F.coalesce(F.col("_secret_doc")[text_col], F.lit("")), F.col("_secret_spans"))

@@ -1,15 +1,19 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Tokens are words with A-Z lower-cased, and one end per document. Every token of the training documents is counted, by
-map-side sums and one shuffle. The tree is grown breadth first: a context (the last d tokens) is a candidate if it makes
-up MIN_CONTEXT of the corpus, and next symbols are kept from MIN_PAIR of it on, so each depth has at most 1 / MIN_CONTEXT
-contexts and 1 / MIN_PAIR symbols whatever the corpus. A candidate stays if its next-symbol distribution diverges from
-its parent's (the context without its oldest token) by more than its parameters cost (a BIC test), or if a longer
-context that stays needs it. Each state mixes its counts with its parent's distribution down to add-one counts at the
-root; a text is scored by the longest state that matches what stands before each token.
-
-The tree and the words above MIN_WORD of the corpus have those fixed bounds and are broadcast. All other words of a
-text get their counts by a join, so no word's count is dropped.
+Tokens are words with A-Z lower-cased, and one end per document. A context is the last d tokens, up to DEPTH. The tree
+is grown breadth first: every context and every next symbol that came LEAST times or more, however large the corpus, is a
+candidate. A context becomes a state if its next-symbol distribution diverges from that of its longest suffix by more
+than its parameters cost (a BIC test). A state mixes its counts with that distribution, down to add-one counts of all
+words at the root; other contexts have their suffix's distribution. A text is scored by the longest state before each
+token.
+
+The tree grows with the corpus, so it is a table and is looked up by join. The log-probability of a token is a sum with
+one term per sequence of tokens that ends there or at the token before: what its state adds to the suffix's probability
+of it, and the state's back-off weight. The terms of a sequence, known by a 64-bit hash, are added up into one number, so
+a text's score is the sum of the numbers of all sequences of up to DEPTH + 1 tokens in it. Parts of the documents
+send the hashes, by bucket, to where the table's share of the bucket is, and get sums back. Three things of fixed size
+are broadcast, and only save work: the sequences above a share of the corpus (at most 1 / share of them; the others
+occur too seldom to fill a bucket), a bitmap of the table's hashes, and one of the sequences that came LEAST times.
 
 Nulls and edge cases: a null text is empty, whose only token is the end; a null id is hashed as the empty string; repeated
 rows are documents of their own; without training documents every probability is 1; an empty table gives an empty
@@ -18,6 +22,7 @@ result; other input columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,15 +31,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
-from .textops import mixed, sliced, word_hashes
+from .common import dropped, stored
+from .textops import mixed, sliced, trim, word_hashes
 
-DEPTH = 2
-#: Shares of the training tokens: of a word that is broadcast, of a context, of a context with a next symbol.
-MIN_WORD, MIN_CONTEXT, MIN_PAIR = 5e-7, 1e-4, 2e-6
+#: Tokens of the longest context; occurrences from which a context and a next symbol of it count.
+DEPTH, LEAST = 2, 2
+#: Shares of the training tokens from which a word, or a longer sequence, is broadcast.
+MIN_WORD, MIN_PAIR = 1e-6, 2e-6
+#: log2 of the bits of a bitmap, at most.
+BITMAP = 27
 END = int(np.uint64(0x454E445F4F465F5F).astype(np.int64))
-#: Distinct keys that a task sums up before it sends them.
-HELD = 1 << 20
+#: Distinct keys that a task sums up before it sends them; requests that it gathers; bytes of text per bucket.
+HELD, SENT, BUCKET = 1 << 20, 1 << 19, 1 << 25
+_NEXT = np.uint64(0xD6E8FEB86659FD93)
 
 
 class Lookup:
@@ -42,16 +51,16 @@ class Lookup:
 
     def __init__(self, keys: np.ndarray, bits: int = 20):
         self.keys, self.shift = keys, np.uint64(64 - bits)
-        self.table = np.full(1 << bits, -1, np.int64)
+        self.table = np.full(1 << bits, -1, np.int32)
         self.table[self._slot(keys)] = np.arange(len(keys))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (mixed(keys.astype(np.uint64)) >> self.shift).astype(np.int64)
+        return (mixed(keys.view(np.uint64)) >> self.shift).astype(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.full(len(keys), -1, np.int64)
-        out = self.table[self._slot(keys)]
+        out = self.table[self._slot(keys)].astype(np.int64)
         odd = np.flatnonzero((out >= 0) & (self.keys[out] != keys))
         if len(odd):
             at = np.minimum(np.searchsorted(self.keys, keys[odd]), len(self.keys) - 1)
@@ -60,63 +69,45 @@ class Lookup:
 
 
 @dataclass
-class Level:
-    """Contexts of one depth. grams: keys (parent gram's place * words + last word) of all candidates, sorted."""
-
-    grams: np.ndarray
-    kept: np.ndarray  # which are states
-    back: np.ndarray  # log10 of the weight of the parent's distribution
-    pairs: np.ndarray  # keys (gram's place * words + next word) of the symbols of states, sorted
-    logp: np.ndarray  # their log10 probabilities
-    find: Lookup = field(init=False)
-    find_pair: Lookup = field(init=False)
+class Bitmap:
+    """Whether a key may be in a set; bits: of its slots' number."""
 
-    def prepare(self) -> None:
-        self.find, self.find_pair = Lookup(self.grams, 16), Lookup(self.pairs)
+    words: np.ndarray
+    bits: int
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slot = keys.view(np.uint64) >> np.uint64(64 - self.bits)
+        return (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 @dataclass
 class Tree:
-    words: np.ndarray  # hashes, sorted
-    counts: np.ndarray
+    """total, distinct: tokens and words of the training documents; model: the table (k, base, gain, n) of all sequences.
+
+    base: log10(count + 1) of a word; gain: what else a sequence adds to a score. The rest is the part that is broadcast.
+    """
+
     total: int
     distinct: int
-    levels: list[Level]
+    model: DataFrame | None
+    keys: np.ndarray
+    base: np.ndarray
+    gain: np.ndarray
+    others: Bitmap
     find: Lookup = field(init=False)
 
+    def local(self) -> Tree:
+        return Tree(self.total, self.distinct, None, self.keys, self.base, self.gain, self.others)
+
     def prepare(self) -> Tree:
-        """Build the direct tables, once per worker."""
+        """Build the direct table, once per worker."""
         if not hasattr(self, "find"):
-            self.find = Lookup(self.words)
-            for x in self.levels:
-                x.prepare()
+            self.find = Lookup(self.keys)
         return self
 
     @property
     def log_total(self) -> float:
-        return float(np.log10(self.total + self.distinct + 1))
-
-    def grams(self, ids: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """For each level the place of the context that ends at each token, or -1."""
-        out = []
-        for d, level in enumerate(self.levels):
-            if d == 0:
-                key = np.where(ids >= 0, ids, -2)
-            else:
-                prev = np.concatenate([[-1], out[-1][:-1]])[: len(ids)]
-                prev[starts[starts < len(ids)]] = -1
-                key = np.where((prev >= 0) & (ids >= 0), prev * len(self.words) + ids, -2)
-            out.append(level.find(key))
-        return out
-
-    def before(self, ids: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-        """For each level the context that stands before each token; starts: the first token of each document."""
-        out = []
-        for ctx in self.grams(ids, starts):
-            prev = np.concatenate([[-1], ctx[:-1]])[: len(ids)]
-            prev[starts[starts < len(ids)]] = -1
-            out.append(prev)
-        return out
+        return math.log10(self.total + self.distinct + 1)
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -130,178 +121,302 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, starts
 
 
-def _summed(keys: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(key, n) rows: how often each key came, summed within the task as far as memory of fixed size allows."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def sequence_key(context: np.ndarray, event: np.ndarray) -> np.ndarray:
+    """Key of a sequence from those of itself without its last and without its first token."""
+    return mixed(context.view(np.uint64) * _NEXT + event.view(np.uint64)).view(np.int64)
+
+
+def sequences(tokens: np.ndarray, starts: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places where they end, keys) of all sequences of 1, 2, ... most tokens that stay within a document."""
+    begin = np.repeat(starts[:-1], np.diff(starts))
+    at, keys = np.arange(len(tokens)), tokens
+    yield at, keys
+    for n in range(2, most + 1):
+        whole = np.zeros(len(tokens), np.int64)
+        whole[at] = keys
+        at = at[at - begin[at] >= n - 1]
+        keys = sequence_key(whole[at - 1], whole[at])
+        yield at, keys
+
+
+def _summed(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows of the parts' columns with n, how often each came (the first column tells them apart).
 
-    def merge() -> tuple[np.ndarray, np.ndarray]:
-        k, inverse = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
-        return k, np.bincount(inverse, np.concatenate([n for _, n in held])).astype(np.int64)
+    They are summed within the task as far as memory of fixed size allows.
+    """
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def merge() -> list[tuple[np.ndarray, ...]]:
+        whole = [np.concatenate(c) for c in zip(*held, strict=True)]
+        _, at, inverse = np.unique(whole[0], return_index=True, return_inverse=True)
+        return [(*(c[at] for c in whole[:-1]), np.bincount(inverse, whole[-1]).astype(np.int64))]
+
+    def rows() -> pa.RecordBatch:
+        cols = held[0] if len(names) == len(held[0]) else held[0][1:]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
 
     size = 0
-    for x in keys:
-        held.append(np.unique(x, return_counts=True))
-        size += len(held[-1][0])
+    for part in parts:
+        _, at, n = np.unique(part[0], return_index=True, return_counts=True)
+        held.append((*(c[at] for c in part), n))
+        size += len(at)
         if size > HELD:
-            held = [merge()]
+            held = merge()
             size = len(held[0][0])
             if size > HELD // 2:
-                yield pa.RecordBatch.from_arrays([pa.array(held[0][0]), pa.array(held[0][1])], ["k", "n"])
+                yield rows()
                 held, size = [], 0
     if held:
-        k, n = merge()
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["k", "n"])
+        held = merge()
+        yield rows()
+    trim()
 
 
-def _counted(texts: DataFrame, keys) -> DataFrame:
+def word_counts(train: DataFrame) -> DataFrame:
+    """(k, n): every token's count in column text, by the token's hash."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _summed(keys(_tokens(b.column(0))) for b in sliced(batches))
+        return _summed(((_tokens(b.column(0))[0],) for b in sliced(batches)), ["k", "n"])
 
-    return texts.mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    return stored(train.select("text").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")))
 
 
-def word_counts(train: DataFrame) -> DataFrame:
-    """(k, n): every token's count in column text, by the token's hash."""
-    return cut(_counted(train.select("text"), lambda t: t[0]))
+def _bitmap(keys: DataFrame, count: int, bits: int) -> Bitmap:
+    """A bitmap of keys (k): about eight slots a key, at most 2 ** bits."""
+    bits = max(6, min(bits, (8 * max(count, 1)).bit_length()))
+    slots = keys.select(F.shiftrightunsigned("k", 64 - bits).alias("slot"))
+    rows = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("b")).toArrow()  # at most 2 ** (bits - 6)
+    words = np.zeros(1 << (bits - 6), np.uint64)
+    words[rows.column("w").to_numpy()] = rows.column("b").to_numpy().view(np.uint64)
+    return Bitmap(words, bits)
 
 
-def _level(grams: np.ndarray, of: np.ndarray, keys: np.ndarray, n: np.ndarray, total: np.ndarray, parent_p: np.ndarray, corpus: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(passes the divergence test, log10 weight of the parent, log10 probability of each symbol).
+def _followers(train: DataFrame, order: int, seen: Bitmap | None) -> DataFrame:
+    """(k, g, e, n) of the sequences of order + 1 tokens that came LEAST times: context g, event e (without the first token).
 
-    of: each symbol's context; n: its count; total: the count of each context; parent_p: the parent's probability of it.
+    seen: what the sequences of order tokens that came LEAST times may be; others cannot be part of these.
     """
-    m = len(grams)
-    kinds, seen = np.bincount(of, minlength=m), np.bincount(of, n, minlength=m)
-    gain = np.bincount(of, n * np.log(np.maximum(n / np.maximum(total[of], 1), 1e-300) / parent_p), minlength=m)
-    rest, was = total - seen, 1 - np.bincount(of, parent_p, minlength=m)
-    gain += np.where(rest > 0, rest * np.log(np.maximum(rest / np.maximum(total, 1), 1e-300) / np.maximum(was, 1e-12)), 0)
-    passes = (kinds > 0) & (gain > 0.5 * np.log(max(corpus, 2)) * kinds)
-    mass = total + kinds + 1
-    back = (rest + kinds + 1) / mass
-    return passes, np.log10(back), np.log10(n / mass[of] + back[of] * parent_p)
-
-
-class _Grown:
-    """What growing knows of each level: contexts as rows of word places, and their symbols."""
-
-    def __init__(self, tree: Tree):
-        self.tree, self.levels = tree, []
-        self.root = (tree.counts + 1) / (tree.total + tree.distinct + 1)
-
-    def places(self, seq: np.ndarray) -> np.ndarray:
-        """Where each context (a row) stands in its level. Contexts of it are candidates, as each is as frequent at least."""
-        at = np.searchsorted(self.levels[0]["grams"], seq[:, 0])
-        for d in range(1, seq.shape[1]):
-            at = np.searchsorted(self.levels[d]["grams"], at * len(self.tree.words) + seq[:, d])
-        return at
-
-    def p(self, seq: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Probability of word after each context, all candidates counted as states."""
-        out = self.root[word]
-        for d in range(1, seq.shape[1] + 1):
-            x = self.levels[d - 1]
-            at = self.places(seq[:, seq.shape[1] - d :])
-            out = 10.0 ** x["back"][at] * out
-            if len(x["keys"]):
-                want = at * len(self.tree.words) + word
-                place = np.minimum(np.searchsorted(x["keys"], want), len(x["keys"]) - 1)
-                out = np.where(x["keys"][place] == want, 10.0 ** x["logp"][place], out)
-        return out
+    held = train.sparkSession.sparkContext.broadcast(seen)
+
+    def found(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        tokens, starts = _tokens(b.column(0))
+        *_, (at, keys), (to, longer) = sequences(tokens, starts, order + 1)
+        whole = np.zeros(len(tokens), np.int64)
+        whole[at] = keys
+        g, e = whole[to - 1], whole[to]
+        if held.value is not None:
+            use = held.value(g) & held.value(e)
+            return longer[use], g[use], e[use]
+        return longer, g, e
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _summed((found(b) for b in sliced(batches)), ["g", "e", "n"])
 
-def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: float = MIN_WORD, min_context: float = MIN_CONTEXT, min_pair: float = MIN_PAIR) -> Tree:
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            g, e = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(sequence_key(g, e)), *b.columns], ["k", "g", "e", "n"])
+
+    sums = train.select("text").mapInArrow(count, "g long, e long, n long").groupBy("g", "e").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    return stored(sums.mapInArrow(keyed, "k long, g long, e long, n long"))
+
+
+def _level(pairs: DataFrame, below: DataFrame, corpus: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(table (k, n, p) of the sequences, their terms (k, x, n), terms of the states (k, x)).
+
+    pairs: (k, g, e, n); below: (k, n, p) of the sequences one token shorter: count, and probability of the last token.
+    """
+    near = stored(pairs.join(below.select(F.col("k").alias("e"), F.col("p").alias("was")), "e").select("k", "g", "n", "was"))
+    sums = near.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("n").alias("seen"), F.sum(F.col("n") * F.log(F.col("n") / F.col("was"))).alias("gain"), F.sum("was").alias("mass"))
+    ctx = sums.join(below.select(F.col("k").alias("g"), F.col("n").alias("total")), "g")
+    rest, total = F.col("total") - F.col("seen"), F.col("total").cast("double")
+    other = F.when(rest > 0, rest * F.log(rest / total / F.greatest(1 - F.col("mass"), F.lit(1e-12)))).otherwise(0.0)
+    ctx = ctx.where(F.col("gain") - F.col("seen") * F.log(total) + other > 0.5 * math.log(max(corpus, 2)) * F.col("kinds"))
+    states = stored(ctx.select("g", (F.col("total") + F.col("kinds") + 1).cast("double").alias("all"), ((rest + F.col("kinds") + 1) / (F.col("total") + F.col("kinds") + 1)).alias("back")))
+    p = F.when(F.col("back").isNull(), F.col("was")).otherwise(F.col("n") / F.col("all") + F.col("back") * F.col("was"))
+    x = F.when(F.col("back").isNull(), F.lit(0.0)).otherwise(F.log10("p") - F.log10(F.col("back") * F.col("was")))
+    table = stored(near.join(states, "g", "left").withColumn("p", p).withColumn("x", x).select("k", "n", "p", "x"))
+    dropped(near)
+    return table.select("k", "n", "p"), table.select("k", "x", "n"), states.select(F.col("g").alias("k"), F.log10("back").alias("x"))
+
+
+def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: float = MIN_WORD, min_pair: float = MIN_PAIR, bits: int = BITMAP) -> Tree:
     """The tree of the documents in train (column text), whose word_counts are counts. One pass over them per depth."""
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    words = counts.where(F.col("n") >= min_word * total).toArrow()  # at most 1 / min_word rows
-    k, n = (words.column(c).to_numpy() for c in ("k", "n"))
-    order = np.argsort(k)
-    tree = Tree(k[order], n[order].astype(np.int64), total, distinct, [])
-    width, known = len(tree.words), _Grown(tree)
-    grams = np.flatnonzero((tree.counts >= max(2, min_context * total)) & (tree.words != END))  # nothing follows an end
-    size, seq = tree.counts[grams].astype(float), grams[:, None]
-    for _ in range(depth):
-        if not len(grams):
+    zero = F.lit(0.0)
+    below = counts.select("k", "n", ((F.col("n") + 1) / F.lit(float(total + distinct + 1))).alias("p"))
+    terms = counts.select("k", F.log10(F.col("n") + 1.0).alias("base"), zero.alias("gain"), "n", F.lit(1).alias("order"))
+    seen, none = None, F.lit(0).cast("long")
+    for order in range(1, depth + 1):
+        pairs = _followers(train, order, seen)
+        kinds = pairs.count()
+        if not kinds:
             break
-        tree.levels.append(Level(grams, np.ones(len(grams), bool), np.zeros(len(grams)), np.zeros(0, np.int64), np.zeros(0)))
-        held = train.sparkSession.sparkContext.broadcast(Tree(tree.words, tree.counts, total, distinct, list(tree.levels)))
-
-        def pairs(t: tuple[np.ndarray, np.ndarray], held=held) -> np.ndarray:
-            own = held.value.prepare()
-            ids = own.find(t[0])
-            prev = own.before(ids, t[1][:-1])[-1]
-            use = (prev >= 0) & (ids >= 0)
-            return prev[use] * len(own.words) + ids[use]
-
-        got = _counted(train.select("text"), pairs).where(F.col("n") >= max(2, min_pair * total)).toArrow()  # at most 1 / min_pair rows
-        keys, n = (got.column(c).to_numpy() for c in ("k", "n"))
-        order = np.argsort(keys)
-        keys, n = keys[order], n[order].astype(float)
-        of, word = keys // width, keys % width
-        parent_p = known.p(seq[of, 1:], word)
-        passes, back, logp = _level(grams, of, keys, n, size, parent_p, total)
-        known.levels.append({"grams": grams, "seq": seq, "keys": keys, "back": back, "logp": logp, "of": of, "passes": passes})
-        big = (n >= max(2, min_context * total)) & (tree.words[word] != END)
-        grams, size, seq = keys[big], n[big], np.concatenate([seq[of[big]], word[big, None]], 1)
-    for d in range(len(known.levels) - 1, 0, -1):  # a state's parent is a state
-        x = known.levels[d]
-        known.levels[d - 1]["passes"][known.places(x["seq"][x["passes"], 1:])] = True
-    for level, x in zip(tree.levels, known.levels, strict=True):
-        use = x["passes"][x["of"]]
-        level.kept, level.back, level.pairs, level.logp = x["passes"], x["back"], x["keys"][use], x["logp"][use]
-    return tree
-
-
-def scored_tokens(tree: Tree, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place among the tree's words or -1, log10 at the root without the count, log10 of the model without it).
-
-    The root's part of a word that the tree does not hold lacks log10(count + 1), which its count from the join adds.
-    """
-    ids = tree.find(tokens)
-    root = np.where(ids >= 0, np.log10(tree.counts[ids] + 1.0) if len(tree.counts) else 0.0, 0.0) - tree.log_total
-    out, done = np.zeros(len(ids)), np.zeros(len(ids), bool)
-    before = tree.before(ids, starts)
-    for level, ctx in zip(reversed(tree.levels), reversed(before), strict=True):
-        at = np.where((ctx >= 0) & ~done, ctx, -1)
-        live = np.flatnonzero(at >= 0)
-        live = live[level.kept[at[live]]]
-        pair = np.where(ids[live] >= 0, level.find_pair(at[live] * len(tree.words) + ids[live]), -1)
-        out[live] += np.where(pair >= 0, level.logp[pair] if len(level.logp) else 0.0, level.back[at[live]])
-        done[live[pair >= 0]] = True
-    return ids, root, np.where(done, out, out + root)
-
-
-def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None) -> DataFrame:
-    """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    held = docs.sparkSession.sparkContext.broadcast(tree)
-    rare = pa.list_(pa.struct([("k", pa.int64()), ("m", pa.int64())]))
+        below, own, states = _level(pairs, below, total)
+        terms = terms.unionByName(own.select("k", zero.alias("base"), F.col("x").alias("gain"), "n", F.lit(2).alias("order")))
+        terms = terms.unionByName(states.select("k", zero.alias("base"), F.col("x").alias("gain"), none.alias("n"), F.lit(0).alias("order")))
+        if order < depth:
+            seen = _bitmap(pairs, kinds, bits)
+        dropped(pairs)
+    model = terms.groupBy("k").agg(F.sum("base").alias("base"), F.sum("gain").alias("gain"), F.max("n").alias("n"), F.max("order").alias("order"))
+    often = F.col("n") >= F.when(F.col("order") == 1, min_word).otherwise(min_pair) * F.lit(float(total))
+    model = stored(model.where("base <> 0 or gain <> 0").select("k", "base", "gain", often.alias("often")))
+    top = model.where("often").select("k", "base", "gain").toArrow()  # at most 1 / min_word + depth / min_pair rows
+    order = np.argsort(top.column("k").to_numpy())
+    rest = model.where("not often")
+    k, base, gain = (top.column(c).to_numpy()[order] for c in ("k", "base", "gain"))
+    return Tree(total, distinct, rest.select("k", "base", "gain"), k, base, gain, _bitmap(rest, rest.count(), bits))
+
+
+def _requests(tree: Tree, tokens: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """(documents' known words and sums of base and gain as far as the broadcast part has them, ..., rows and keys to look up)."""
+    n = len(starts) - 1
+    row = np.repeat(np.arange(n), np.diff(starts))
+    known, sums = np.zeros(n, np.int64), np.zeros((2, n))
+    ask: list[tuple[np.ndarray, np.ndarray]] = []
+    for order, (at, keys) in enumerate(sequences(tokens, starts, depth + 1)):
+        place = tree.find(keys)
+        have = place >= 0
+        r, p = row[at[have]], place[have]
+        if order == 0:
+            known += np.bincount(r, minlength=n)
+            sums[0] += np.bincount(r, tree.base[p], minlength=n)
+        sums[1] += np.bincount(r, tree.gain[p], minlength=n)
+        rest = ~have & tree.others(keys)
+        ask.append((row[at[rest]], keys[rest]))
+    return known, sums, tuple(np.concatenate(c) for c in zip(*ask, strict=True))
+
+
+_FIELDS = [("bucket", "long"), ("kind", "int"), ("part", "long"), ("row", "long"), ("n_tokens", "long"), ("known", "long"), ("base", "double"), ("gain", "double"), ("keys", "binary"), ("more", "binary")]
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def _packed(**cols) -> pa.RecordBatch:
+    """A batch of _FIELDS; fields not given are null."""
+    n = len(next(iter(cols.values())))
+    return pa.RecordBatch.from_arrays([pa.array(cols[c], _TYPES[t]) if c in cols else pa.nulls(n, _TYPES[t]) for c, t in _FIELDS], [c for c, _ in _FIELDS])
+
+
+def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order that sorts keys by bucket, the buckets, where each begins and ends in it)."""
+    bucket = (mixed(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    kinds, begin = np.unique(bucket[order], return_index=True)
+    return order, kinds, np.append(begin, len(keys))
+
+
+def _shelved(buckets: int):
+    """The table's rows (k, base, gain) in binary blocks by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = held.value.prepare()
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> pa.RecordBatch:
+            k, base, gain = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]) for c in range(3))
+            order, kinds, edge = _by_bucket(k, buckets)
+            value = np.stack([base, gain], 1)
+            parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            return _packed(bucket=kinds, kind=np.zeros(len(kinds), np.int32), keys=[k[p].tobytes() for p in parts], more=[value[p].tobytes() for p in parts])
+
+        for b in batches:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= SENT:
+                yield flush()
+                held = []
+        if held:
+            yield flush()
+
+    return run
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums per part and row for the requests; rows come by bucket, the table's first. Documents' rows pass."""
+    bucket, shelf, keys, value = None, [], np.zeros(0, np.int64), np.zeros((0, 2))
+    for b in batches:
+        kind = b.column(1).to_numpy()
+        out: list[tuple[np.ndarray, ...]] = []
+        for i in np.flatnonzero(kind < 2).tolist():
+            at, k, more = b.column(0)[i].as_py(), np.frombuffer(b.column(8)[i].as_py(), np.int64), b.column(9)[i].as_py()
+            if at != bucket:
+                bucket, shelf, keys, value = at, [], np.zeros(0, np.int64), np.zeros((0, 2))
+            if kind[i] == 0:
+                shelf.append((k, np.frombuffer(more, np.float64).reshape(-1, 2)))
+                continue
+            if shelf:
+                keys, value = (np.concatenate([own, *c]) for own, c in zip((keys, value), zip(*shelf, strict=True), strict=True))
+                order = np.argsort(keys)
+                keys, value, shelf = keys[order], value[order], []
+            if not len(keys):
+                continue
+            place = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+            hit = keys[place] == k
+            row, local = np.unique(np.frombuffer(more, np.uint32)[hit], return_inverse=True)
+            base, gain = (np.bincount(local, value[place[hit], c], minlength=len(row)) for c in (0, 1))
+            known = np.bincount(local, value[place[hit], 0] > 0, minlength=len(row))
+            out.append((np.full(len(row), b.column(2)[i].as_py()), row.astype(np.int64), known.astype(np.int64), base, gain))
+        if out:
+            part, row, known, base, gain = (np.concatenate(c) for c in zip(*out, strict=True))
+            yield _with_id(_packed(part=part, row=row, known=known, base=base, gain=gain), b.schema)
+        own = np.flatnonzero(kind == 2)
+        if len(own):
+            yield b.take(pa.array(own))
+
+
+def _with_id(b: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
+    """b with the two columns of documents that the schema ends with, as nulls."""
+    more = [pa.nulls(b.num_rows, schema.field(c).type) for c in ("id", "held_out")]
+    return pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, "id", "held_out"])
+
+
+def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, depth: int = DEPTH) -> DataFrame:
+    """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    spark = docs.sparkSession
+    slim = docs.select(F.col(id_col).alias("id"), (F.lit(False) if held_out is None else held_out).alias("held_out"), F.col(text_col).alias("text"))
+    size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2, -(-size // BUCKET))
+    held = spark.sparkContext.broadcast(tree.local())
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        own, part, rows, asked = held.value.prepare(), TaskContext.get().partitionId() << 32, 0, []
+
+        def flush() -> pa.RecordBatch:
+            row, keys = (np.concatenate(c) for c in zip(*asked, strict=True))
+            order, kinds, edge = _by_bucket(keys, buckets)
+            parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            n = len(kinds)
+            return _packed(bucket=kinds, kind=np.ones(n, np.int32), part=np.full(n, part), keys=[keys[p].tobytes() for p in parts], more=[row[p].astype(np.uint32).tobytes() for p in parts])
+
+        schema = None
         for b in sliced(batches):
+            schema = b.schema
             tokens, starts = _tokens(b.column(2))
-            ids, root, model = scored_tokens(own, tokens, starts[:-1])
+            known, sums, (row, keys) = _requests(own, tokens, starts, depth)
             n = b.num_rows
-            row = np.repeat(np.arange(n), np.diff(starts))
-            out = np.flatnonzero(ids < 0)
-            pair = np.lexsort((tokens[out], row[out]))
-            r, k = row[out][pair], tokens[out][pair]
-            new = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])) if len(r) else np.zeros(0, np.int64)
-            m = np.diff(np.concatenate([new, [len(r)]]))
-            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(r[new], np.arange(n + 1)), pa.int32()), pa.StructArray.from_arrays([pa.array(k[new]), pa.array(m.astype(np.int64))], ["k", "m"]))
-            cols = [b.column(0), b.column(1), pa.array(np.diff(starts).astype(np.int64)), pa.array(np.bincount(row, ids >= 0, minlength=n).astype(np.int64)), pa.array(np.bincount(row, root, minlength=n)), pa.array(np.bincount(row, model, minlength=n)), lists.cast(rare)]
-            yield pa.RecordBatch.from_arrays(cols, ["id", "held_out", "n_tokens", "n_in", "base_in", "score_in", "rare"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    slim = docs.select(F.col(id_col).alias("id"), (F.lit(False) if held_out is None else held_out).alias("held_out"), F.col(text_col).alias("text"))
-    rows = slim.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens long, n_in long, base_in double, score_in double, rare array<struct<k:long,m:long>>")
-    rows = cut(rows.withColumn("row", F.monotonically_increasing_id()))
-    each = rows.select("row", F.explode("rare").alias("x")).select("row", "x.k", "x.m")
-    found = each.join(counts, "k").groupBy("row").agg(F.sum("m").alias("seen"), F.sum(F.col("m") * F.log10(F.col("n") + 1.0)).alias("more"))
-    more = F.coalesce("more", F.lit(0.0))
-    return rows.join(found, "row", "left").select(
-        "id", "held_out", "n_tokens", (F.col("n_in") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"), (F.col("base_in") + more).alias("base_score"), (F.col("score_in") + more).alias("score"),
+            place = np.arange(rows, rows + n)
+            own_rows = _packed(bucket=np.full(n, part % buckets), kind=np.full(n, 2, np.int32), part=np.full(n, part), row=place, n_tokens=np.diff(starts), known=known, base=sums[0], gain=sums[1])
+            yield pa.RecordBatch.from_arrays([*own_rows.columns, b.column(0), b.column(1)], [*own_rows.schema.names, "id", "held_out"])
+            asked.append((row + rows, keys))
+            rows += n
+            if sum(len(k) for _, k in asked) >= SENT:
+                yield _with_id(flush(), schema)
+                part, rows, asked = part + 1, 0, []
+        if asked:
+            yield _with_id(flush(), schema)
+        trim()
+
+    names = ", ".join(f"{c} {t}" for c, t in _FIELDS)
+    whole = f"{names}, id {docs.schema[id_col].dataType.simpleString()}, held_out boolean"
+    shelf = tree.model.mapInArrow(_shelved(buckets), names)
+    rows = slim.mapInArrow(ask, whole).unionByName(shelf, allowMissingColumns=True)
+    dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answered, whole)
+    sums = dealt.groupBy("part", "row").agg(
+        F.first("id", True).alias("id"), F.first("held_out", True).alias("held_out"), F.max("n_tokens").alias("n_tokens"),
+        F.sum("known").alias("n_known"), F.sum("base").alias("base"), F.sum("gain").alias("gain"),
     )
+    base = F.col("base") - F.col("n_tokens") * F.lit(tree.log_total)
+    return sums.select("id", "held_out", "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
 
 
 def crc_fold(id_col: str, folds: int = 7) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import stored
 
 #: Rows of an index block and queries of a group: the size of a task's work.
 BLOCK, GROUP = 4096, 1024
@@ -160,7 +160,7 @@ def _searcher(k: int):
 def top_k(df: DataFrame, query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, scale: int = 1024, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """query_id, rank, vec_id, score: for each row for which query holds (a predicate on column vec_id), its k best others."""
     valid = df.select(F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vector_col), scale).alias("v")).where("vec_id is not null and v is not null")
-    rows = cut(valid.groupBy("vec_id").agg(F.min("v").alias("v")))
+    rows = stored(valid.groupBy("vec_id").agg(F.min("v").alias("v")))
     asked = rows.where(query)
     n, m = rows.agg(F.count("*"), F.count_if(query)).first()
     blocks, groups = max(1, -(-n // block)), max(1, -(-m // group))

@@ -18,7 +18,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut
+from .common import ascii_lower, dropped, stored
 
 # Fixed values of the contract: verdict and rule (host, then path).
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -64,11 +64,11 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None, enough
     moves by more than enough of itself (a host reached for the first time moves by all of it), or after rounds if given.
     Mass that reaches a host without links returns to the seeds.
     """
-    ranks = cut(seeds.select("host", "seed", F.col("seed").alias("rank")))
+    ranks = stored(seeds.select("host", "seed", F.col("seed").alias("rank")))
     for _ in itertools.count() if rounds is None else range(rounds):
         flow = links.join(ranks, links.src == ranks.host).groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("got"))
         moved = ranks.join(flow, ranks.host == flow.dst, "full").select(F.coalesce("host", "dst").alias("host"), F.coalesce("seed", F.lit(0.0)).alias("seed"), F.coalesce("rank", F.lit(0.0)).alias("was"), F.coalesce("got", F.lit(0.0)).alias("got"))
-        moved = cut(moved)
+        moved = stored(moved)
         total = moved.agg(F.sum("got")).first()[0] or 0.0
         fresh = moved.withColumn("rank", F.col("seed") * (1 - DAMPING * total) + DAMPING * F.col("got"))
         ranks = fresh.select("host", "seed", "rank")
@@ -83,10 +83,10 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     host, path = host_of(url), path_of(url)
     rule, verdict = ruled(F.col("host"), F.col("path"), rules)
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path")).select("id", "host", "path", rule.alias("rule"), verdict.alias("ruling"))
-    hosts = cut(rows.where("host <> ''").groupBy("host").agg(F.count_if(F.col("ruling") == "allow").alias("good"), F.count_if(F.col("ruling") == "block").alias("bad")))
+    hosts = stored(rows.where("host <> ''").groupBy("host").agg(F.count_if(F.col("ruling") == "allow").alias("good"), F.count_if(F.col("ruling") == "block").alias("bad")))
     sums = hosts.agg(F.sum("good"), F.sum("bad")).first()
     seeds = [hosts.where(F.col(c) > 0).select("host", (F.col(c) / F.lit(float(n or 1))).alias("seed")) for c, n in zip(("good", "bad"), sums, strict=True)]
-    links = cut(edges(pages, host, html_col))
+    links = stored(edges(pages, host, html_col))
     trust = spread(links, seeds[0]).withColumnRenamed("rank", "trust")
     against = links.groupBy("dst").agg(F.count("*").alias("n"))
     turned = links.join(against, "dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"), (1.0 / F.col("n")).alias("w"))

@@ -1,12 +1,12 @@
-"""Suffix-tree scores against plain Python: the base score exactly, the model as a proper distribution and by brute force."""
+"""Suffix-tree scores against plain Python: the base score, and the model grown and applied without Spark or hashes."""
 
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
+import pytest
 
 from affinis.llm import suffixtree as st
 
@@ -22,56 +22,101 @@ def frame(spark):
     return rows, spark.createDataFrame(rows, "doc_id long, text string, n long, k long")
 
 
-def test_base_score_and_flags(spark):
+def held(i):
+    return zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
+
+
+class Plain:
+    """The tree in plain Python."""
+
+    def __init__(self, texts, depth):
+        docs = [words(t) for t in texts]
+        self.c = Counter(w for d in docs for w in d)
+        self.n, self.v = sum(self.c.values()), len(self.c)
+        self.next, self.states = defaultdict(Counter), {}
+        seq = Counter(tuple(d[i : i + k]) for d in docs for k in range(1, depth + 2) for i in range(len(d) - k + 1))
+        for s, n in seq.items():
+            if len(s) > 1 and n >= st.LEAST:
+                self.next[s[:-1]][s[-1]] = n
+        for ctx in sorted(self.next, key=len):
+            follow, total = self.next[ctx], seq[ctx]
+            was = {w: self.p(ctx[1:], w) for w in follow}
+            rest = total - sum(follow.values())
+            gain = sum(n * math.log(n / total / was[w]) for w, n in follow.items())
+            if rest:
+                gain += rest * math.log(rest / total / max(1 - sum(was.values()), 1e-12))
+            if gain > 0.5 * math.log(max(self.n, 2)) * len(follow):
+                self.states[ctx] = (total + len(follow) + 1, (rest + len(follow) + 1) / (total + len(follow) + 1))
+
+    def p(self, ctx, w):
+        """Probability of w after ctx, from the longest state that ends it."""
+        if not ctx:
+            return (self.c[w] + 1) / (self.n + self.v + 1)
+        below = self.p(ctx[1:], w)
+        if ctx not in self.states:
+            return below
+        size, back = self.states[ctx]
+        return self.next[ctx][w] / size + back * below
+
+    def score(self, text, depth):
+        d = words(text)
+        return sum(math.log10(self.p(tuple(d[max(0, i - depth) : i]), w)) for i, w in enumerate(d))
+
+
+@pytest.mark.parametrize("depth,limits", [(2, {}), (3, {}), (2, {"min_word": 0.05, "min_pair": 0.02}), (2, {"min_word": 9.0, "min_pair": 9.0, "bits": 6})])
+def test_scores_by_brute_force(spark, depth, limits):
     rows, df = frame(spark)
     out = st.crc_fold("doc_id") == 2
-    counts = st.word_counts(df.where(~out))
-    tree = st.grow(df.where(~out), counts)
-    got = st.score(df, tree, counts, held_out=out).collect()
-    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2
-    c = Counter(w for i, t, *_ in rows if not held(i) for w in words(t))
-    n, v = sum(c.values()), len(c)
-    want = Counter((i, held(i), len(words(t)), sum(c[w] > 0 for w in words(t)), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in words(t)), 6)) for i, t, *_ in rows)
-    assert Counter((*tuple(r)[:5], round(r.base_score, 6)) for r in got) == want
-    assert len(tree.levels) == 2 and any(x.kept.any() for x in tree.levels)
-
-
-def test_rare_words_come_by_join(spark):
-    _, df = frame(spark)
-    counts = st.word_counts(df)
-    few, all_ = st.grow(df, counts, min_word=0.05), st.grow(df, counts)
-    a, b = ({(r.id, round(r.base_score, 6), r.n_known, r.n_tokens) for r in st.score(df, t, counts).collect()} for t in (few, all_))
-    assert len(few.words) < len(all_.words) and a == b
-
-
-def test_model_is_a_distribution_and_matches_the_longest_state(spark):
-    _, df = frame(spark)
-    counts = st.word_counts(df)
-    tree = st.grow(df, counts).prepare()
-    assert len(tree.words) == tree.distinct
-    for context in ([], ["the"], ["the", "cat"], ["new", "york"], ["zzz"]):
-        head = st._tokens(pa.array([" ".join(context)]))[0][:-1]
-        p = []
-        for w in [*tree.words, 12345]:
-            tokens = np.concatenate([head, [w]])
-            p.append(10 ** st.scored_tokens(tree, tokens, np.array([0]))[2][-1])
-        assert abs(sum(p) - 1) < 1e-9, context
-    seen = st._tokens(pa.array(["new york"]))[0][:2]
-    ids, root, model = st.scored_tokens(tree, seen, np.array([0]))
-    assert model[1] > root[1] + 0.5  # york after new is far likelier than york
+    tree = st.grow(df.where(~out), st.word_counts(df.where(~out)), depth, **limits)
+    got = st.score(df, tree, held_out=out, depth=depth).collect()
+    model = Plain([t for i, t, *_ in rows if not held(i)], depth)
+    c, n, v = model.c, model.n, model.v
+    want = Counter((i, held(i), len(words(t)), sum(c[w] > 0 for w in words(t)), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in words(t)), 6), round(model.score(t, depth), 6)) for i, t, *_ in rows)
+    assert Counter((*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in got) == want
+    assert len(model.states) > 10 and {len(s) for s in model.states} == set(range(1, depth + 1))
+    for ctx in [(), *model.states, ("zzz",)]:
+        assert abs(sum(model.p(ctx, w) for w in [*c, "unknown"]) - 1) < 1e-9
+    assert (len(tree.keys) == 0) == (limits.get("min_word") == 9.0)
+
+
+def test_scores_on_documents_by_brute_force(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    out = st.crc_fold("doc_id") == 2
+    got = {r.id: r.score for r in st.score(df, st.grow(df.where(~out), st.word_counts(df.where(~out))), held_out=out).collect()}
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    model = Plain([t for i, t in rows if not held(i)], st.DEPTH)
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert abs(got[i] - model.score(t, st.DEPTH)) < 1e-6 * max(1, abs(got[i]))
 
 
 def test_held_out_likelihood_is_better_than_base(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = st.crc_fold("doc_id") == 2
     counts = st.word_counts(df.where(~out))
-    rows = [r for r in st.score(df, st.grow(df.where(~out), counts), counts, held_out=out).collect() if r.held_out]
+    rows = [r for r in st.score(df, st.grow(df.where(~out), counts), held_out=out).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_what_the_tree_keeps_grows_with_the_corpus(spark):
+    """Contexts that occur twice are states however many other tokens there are."""
+    twice = "alpha beta gamma delta epsilon zeta eta theta"
+    for other in (50, 5000):
+        df = spark.createDataFrame([(1, twice), (2, twice)] + [(10 + i, f"w{i} v{i} u{i}") for i in range(other)], "doc_id long, text string")
+        r = st.score(df, st.grow(df, st.word_counts(df))).where("id = 1").first()
+        assert r.score > r.base_score + 5
+
+
 def test_nothing_to_train_on(spark):
     _, df = frame(spark)
-    counts = st.word_counts(df.limit(0))
-    tree = st.grow(df.limit(0), counts)
-    assert {(r.base_score, r.score, r.n_known) for r in st.score(df, tree, counts).collect()} == {(0.0, 0.0, 0)}
-    assert st.score(df.limit(0), tree, counts).count() == 0
+    tree = st.grow(df.limit(0), st.word_counts(df.limit(0)))
+    assert {(r.base_score, r.score, r.n_known) for r in st.score(df, tree).collect()} == {(0.0, 0.0, 0)}
+    assert st.score(df.limit(0), tree).count() == 0
+
+
+def test_bitmap_holds_every_key(spark):
+    keys = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
+    df = spark.createDataFrame([(int(k),) for k in keys], "k long")
+    for bits in (6, 12, 27):
+        assert st._bitmap(df, len(keys), bits)(keys).all()
+    assert st._bitmap(df, len(keys), 27)(np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 5000)).mean() < 0.3
