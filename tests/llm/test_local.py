@@ -38,6 +38,21 @@ def test_top_k(spark, block, group):
     assert got == brute_top(rows, 7)
 
 
+def test_top_k_of_large_components(spark):
+    rng = random.Random(8)
+    rows = [(0, [1.0, 2.0]), (1, [300000.0, 1.0]), (2, [1.0, 1.0]), (3, [1e30, -1e30]), (4, [1e30, 1e30]), (5, [-3e38, 1.0]), (6, [3e38, 1e-30]), (7, [2.0**28, -(2.0**28)])]
+    rows += [(i, [rng.choice([-1, 1]) * 10 ** rng.uniform(-3, 38) for _ in range(2)]) for i in range(8, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = defaultdict(list)
+    for r in topk.top_k(df, F.expr("vec_id % 3 = 0"), k=7, block=8).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    want = brute_top([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 7)
+    assert got == {q: [(i, max(-(2**63), min(2**63 - 1, s))) for i, s in best] for q, best in want.items()}
+    assert topk.top_k(df.where("vec_id < 3"), F.expr("vec_id = 0")).first().vec_id == 1
+    wide = sorted([rng.randrange(-(10**k), 10**k) for k in range(1, 90)] + [0, 1, -1, 255, 256, -256, -255])
+    assert sorted(wide, key=topk.sortable) == wide
+
+
 def test_top_k_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0]), (5, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(df, F.expr("vec_id = 0")).collect()] == [(0, 1, 5, 1024 * 2048)]
