@@ -554,7 +554,7 @@ def _(spark, d):
 @query("o083_script", r"select doc_id, case when not regexp_matches(text, '[^\x00-\x7f]') then 'ascii' when regexp_matches(text, '[^\x00-\x7f\p{Latin}\p{M}]') then 'other' else 'latin_accented' end as script from documents")
 def _(spark, d):
     docs = table(spark, d, "documents")
-    return docs.select("doc_id", F.when(F.col("text").rlike(r"[^\x00-\x7f]"), text.script_class("text")).otherwise("ascii").alias("script"))
+    return docs.select("doc_id", text.script_class(F.col("text")).alias("script"))
 
 
 @query("o084_skeleton")
@@ -601,7 +601,7 @@ def _(spark, d):
 @query("o082_romanize")
 def _(spark, d):
     names = [("आदित्य प्रोडक्ट्स",), ("ಹರಿ ಲಾಜಿಸ್ಟಿಕ್ಸ್",), ("Léarning Çoncept",), ("plain",)]
-    return spark.createDataFrame(names, "name string").select("name", text.to_latin("name").alias("latin"), text.script_class("name").alias("script"))
+    return spark.createDataFrame(names, "name string").select("name", text.to_latin("name").alias("latin"), text.script_class(F.col("name")).alias("script"))
 
 
 # Similarity

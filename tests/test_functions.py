@@ -8,9 +8,11 @@ from affinis.functions import fuzzy, text
 from affinis.sources import tsv
 
 
-def test_romanisation_and_scripts():
+def test_romanisation_and_scripts(spark):
     assert text.latin("आदित्य प्रोडक्ट्स") == "adity prodakts" and text.latin("ಹರಿ ಲಾಜಿಸ್ಟಿಕ್ಸ್") == "hari lajistiks" and text.latin("Léarning Çoncept") == "Learning Concept"
-    assert [text.script_of(x) for x in ("abc", "Él", "हरि a", "漢", None)] == ["ascii", "latin_accented", "indic", "other", "ascii"]
+    assert text.latin("कंपनी हिंदी फ़िल्म ज़रा १२ राम।") == "kampani hindi film zara 12 rama " and text.latin("ਪੰਜਾਬ தமிழ் മലയാളം") == "panjab tamil malayalan"
+    kinds = [r.k for r in spark.createDataFrame([("abc",), ("Él",), ("E\u0301l",), ("हरि a",), ("漢",), ("é漢",), ("ｆ",), (None,)], "x string").select(text.script_class(F.col("x")).alias("k")).collect()]
+    assert kinds == ["ascii", "latin_accented", "latin_accented", "indic", "other", "other", "other", "ascii"]
 
 
 def test_skeleton_and_normalisation(spark):
