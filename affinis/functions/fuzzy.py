@@ -1,31 +1,40 @@
-"""String similarities, 0 to 100, as Arrow UDFs; token work stays in Catalyst.
+"""String similarities, 0 to 100; all that a query wants of its pairs are computed in one Arrow pass, once per distinct pair.
 
 ratio is 200 * LCS / (length a + length b), from a bit-parallel longest common subsequence on Python's long integers.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence: one bit per character of a, one step per character of b."""
+@functools.lru_cache(1 << 14)
+def _places(a: str) -> dict[str, int]:
+    """For each character the bits of its places."""
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    free = full
+    return where
+
+
+def lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence: one bit per character of a, one step per character of b."""
+    where = _places(a)
+    free = full = (1 << len(a)) - 1
     for c in b:
         hit = free & where.get(c, 0)
-        free = ((free + hit) | (free - hit)) & full
+        if hit:
+            free = ((free + hit) | (free - hit)) & full
     return len(a) - free.bit_count()
 
 
 def ratio_of(a: str, b: str) -> float:
-    return 200.0 * lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
+    return 100.0 if a == b else 200.0 * lcs(a, b) / (len(a) + len(b))
 
 
 def partial_of(a: str, b: str) -> float:
@@ -33,14 +42,46 @@ def partial_of(a: str, b: str) -> float:
     if not a or not b:
         return 100.0 if a == b else 0.0
     short, long = (a, b) if len(a) <= len(b) else (b, a)
-    n = len(short)
-    best = max(ratio_of(short, long[max(i, 0) : i + n]) for i in range(1 - n, len(long)))
-    return max(best, partial_of_equal(long, short)) if len(a) == len(b) else best
+    best = _best_stretch(short, long)
+    return max(best, _best_stretch(long, short)) if len(a) == len(b) else best
+
+
+def _best_stretch(short: str, long: str) -> float:
+    """A stretch one place on shares at most one character more, and one cut shorter no more than before: the rest is skipped."""
+    n, at, top = len(short), 0, 0
+    while at <= len(long) - n:
+        shared = lcs(short, long[at : at + n])
+        top = max(top, shared)
+        at += top - shared + 1
+    best = 100.0 * top / n
+    for cut in (lambda size: long[:size], lambda size: long[-size:]):
+        size = n - 1
+        while size > 0 and 200.0 * size / (n + size) > best:
+            shared = lcs(short, cut(size))
+            best = max(best, 200.0 * shared / (n + size))
+            size = min(size - 1, math.ceil(200.0 * shared / best - n) - 1 if best else 0)
+    return best
+
+
+@functools.lru_cache(1 << 14)
+def _tokens(a: str) -> tuple[str, ...]:
+    return tuple(sorted(a.split()))
 
 
-def partial_of_equal(a: str, b: str) -> float:
-    n = len(a)
-    return max(ratio_of(a, b[max(i, 0) : i + n]) for i in range(1 - n, n))
+def token_sort_of(a: str, b: str) -> float:
+    return ratio_of(" ".join(_tokens(a)), " ".join(_tokens(b)))
+
+
+def token_set_of(a: str, b: str) -> float:
+    """Best ratio among the shared tokens and the shared tokens with either side's own; 0 if a side has none."""
+    x, y = set(_tokens(a)), set(_tokens(b))
+    if not x or not y:
+        return 0.0
+    both = sorted(x & y)
+    if both and (x <= y or y <= x):
+        return 100.0
+    s, sx, sy = (" ".join(both + sorted(own)) for own in ((), x - y, y - x))
+    return max(ratio_of(sx, sy), *((200.0 * len(s) / (len(s) + len(t)) for t in (sx, sy)) if both else ()), 0.0)  # s begins both
 
 
 def jaro_winkler_of(a: str, b: str) -> float:
@@ -65,32 +106,24 @@ def jaro_winkler_of(a: str, b: str) -> float:
     return 100.0 * (jaro + same * 0.1 * (1 - jaro) if jaro > 0.7 else jaro)
 
 
-def _pairwise(fn):
-    @F.pandas_udf(T.DoubleType())
-    def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else fn(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-    return score
+SCORERS = {"ratio": ratio_of, "tsort": token_sort_of, "tset": token_set_of, "partial": partial_of, "jw": jaro_winkler_of}
 
 
-ratio, partial_ratio, jaro_winkler = _pairwise(ratio_of), _pairwise(partial_of), _pairwise(jaro_winkler_of)
+def similarities(wanted: dict[str, tuple[str, Column, Column]]) -> Column:
+    """A struct with one field per name: (scorer, a, b) -> the scorer's value, null where a or b is null."""
+    names = list(wanted)
+    kind = "struct<" + ", ".join(f"{n}: double" for n in names) + ">"
 
+    @F.pandas_udf(kind)
+    def score(*sides: pd.Series) -> pd.DataFrame:
+        out = {}
+        for k, name in enumerate(names):
+            fn, known = SCORERS[wanted_scorers[k]], {}
+            pairs = list(zip(sides[2 * k], sides[2 * k + 1], strict=True))
+            for pair in set(pairs):
+                known[pair] = None if pair[0] is None or pair[1] is None else fn(*pair)
+            out[name] = pd.Series([known[pair] for pair in pairs], dtype="float64")
+        return pd.DataFrame(out)
 
-def _tokens(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s+"), lambda t: t != "")
-
-
-def token_sort_ratio(a: Column, b: Column) -> Column:
-    order = lambda c: F.array_join(F.array_sort(_tokens(c)), " ")
-    return ratio(order(a), order(b))
-
-
-def token_set_ratio(a: Column, b: Column) -> Column:
-    """Best ratio among the shared tokens and the shared tokens with either side's own; 0 if a side has none."""
-    x, y = _tokens(a), _tokens(b)
-    joined = lambda *parts: F.array_join(F.concat(*parts), " ")
-    both = F.array_sort(F.array_intersect(x, y))
-    only = lambda p, q: F.array_sort(F.array_except(p, q))
-    s, sx, sy = joined(both), joined(both, only(x, y)), joined(both, only(y, x))
-    shared = F.when(F.size(both) > 0, F.greatest(ratio(s, sx), ratio(s, sy))).otherwise(F.lit(0.0))
-    return F.when((F.size(x) == 0) | (F.size(y) == 0), F.lit(0.0)).otherwise(F.greatest(shared, ratio(sx, sy)))
+    wanted_scorers = [wanted[n][0] for n in names]
+    return score(*[c for n in names for c in wanted[n][1:]])

@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fuzzy
+from ..functions import fuzzy, text
 from ..functions.numeric import safe_div
 
 SCRIPT_CODES = {"ascii": 0, "latin_accented": 1, "indic": 2, "other": 3}
 
 
 def record_features(records: DataFrame, tokens: str, prefix: str) -> DataFrame:
-    """records with the number of its tokens and the sum of their IDF; tokens outside the pool weigh ln N."""
+    """records with the number of its tokens, the sum of their IDF and the IDF of each; tokens outside the pool weigh ln N."""
     pool = records.where("src <> 'S1'")
     size = pool.groupBy("country").agg(F.count("*").alias("n_pool"))
     df = pool.select("country", F.explode(F.array_distinct(tokens)).alias("tok")).groupBy("country", "tok").agg(F.count("*").alias("df"))
     each = records.select("id", "country", F.explode(F.array_distinct(tokens)).alias("tok")).join(df, ["country", "tok"], "left").join(size, "country", "left")
-    sums = each.groupBy("id").agg(F.count("*").alias(f"{prefix}_n"), F.sum(F.ln("n_pool") - F.ln(F.coalesce("df", F.lit(1)))).alias(f"{prefix}_idf"))
+    each = each.withColumn("w", F.coalesce(F.ln("n_pool") - F.ln(F.coalesce("df", F.lit(1))), F.lit(0.0)))
+    own = F.map_from_entries(F.collect_list(F.struct("tok", "w")))  # as many entries as the record has tokens
+    sums = each.groupBy("id").agg(F.count("*").alias(f"{prefix}_n"), F.sum("w").alias(f"{prefix}_idf"), own.alias(f"{prefix}_w"))
     return records.join(sums, "id", "left").na.fill(0, [f"{prefix}_n", f"{prefix}_idf"])
 
 
@@ -54,11 +56,13 @@ def script_code(script: Column) -> Column:
     return F.coalesce(F.try_element_at(table, script), F.lit(4))
 
 
-def fuzzy_features(a: Column, b: Column, prefix: str) -> dict[str, Column]:
-    return {
-        f"{prefix}_ratio": fuzzy.ratio(a, b), f"{prefix}_tsort": fuzzy.token_sort_ratio(a, b), f"{prefix}_tset": fuzzy.token_set_ratio(a, b),
-        f"{prefix}_partial": fuzzy.partial_ratio(a, b), f"{prefix}_jw": fuzzy.jaro_winkler(a, b),
-    }
+def fuzzy_features(a: Column, b: Column, prefix: str) -> dict[str, tuple[str, Column, Column]]:
+    return {f"{prefix}_{scorer}": (scorer, a, b) for scorer in fuzzy.SCORERS}
+
+
+def idf_shared(a: Column, b: Column, weight: Column) -> Column:
+    """Sum of the weights (a map by token) of the tokens that two arrays share."""
+    return F.aggregate(F.array_intersect(a, b), F.lit(0.0), lambda sum_, t: sum_ + F.coalesce(F.try_element_at(weight, t), F.lit(0.0)))
 
 
 def group_context(pairs: DataFrame, col: str, prefix: str) -> DataFrame:
@@ -68,14 +72,19 @@ def group_context(pairs: DataFrame, col: str, prefix: str) -> DataFrame:
 
 
 def pair_features(cands: DataFrame, records: DataFrame, views: tuple[str, ...]) -> DataFrame:
-    """cands (s1_row, pool_row, cand_pos, score_v, rank_v) with all features; records: (id, country, src, name, addr arrays)."""
+    """s1_row, pool_row, country and the 53 features (with two views) of cands (s1_row, pool_row, cand_pos, score_v, rank_v).
+
+    records: (id, country, src, name, addr arrays). The candidates are read once: what depends on tokens comes with the
+    records, and all string similarities come from one Arrow pass.
+    """
     from .blocking import reverse_competition
 
     r = record_features(record_features(records, "name", "n"), "addr", "a").withColumn("name_s", F.array_join("name", " "))
     r = name_frequency(r, "name_s").withColumns({
-        "sk": F.regexp_replace("name_s", "(?<=.)[aeiouy]", ""), "nums": F.filter("addr", lambda t: t.rlike("^[0-9]+$")), "addr_s": F.array_join("addr", " "),
+        "sk": text.skeleton(F.upper("name_s")), "script": script_code(text.script_class(F.col("name_s"))).cast("double"),
+        "nums": F.filter("addr", lambda t: t.rlike("^[0-9]+$")), "addr_s": F.array_join("addr", " "),
     })
-    side = lambda s: r.select(*[F.col(c).alias(f"{c}_{s}") for c in ("id", "src", "name", "addr", "name_s", "addr_s", "sk", "nums", "n_n", "n_idf", "a_n", "a_idf", "name_freq")])
+    side = lambda s: r.select(*[F.col(c).alias(f"{c}_{s}") for c in ("id", "src", "name", "addr", "name_s", "addr_s", "sk", "script", "nums", "n_idf", "n_w", "a_idf", "a_w", "name_freq")])
     d = cands
     for v in views:
         d = reverse_competition(d, v)
@@ -88,20 +97,19 @@ def pair_features(cands: DataFrame, records: DataFrame, views: tuple[str, ...])
     spaceless = lambda s: F.replace(c(f"name_s_{s}"), F.lit(" "), F.lit(""))
     address = (F.size("addr_x") > 0) & (F.size("addr_y") > 0)
     tail = lambda s: F.slice(c(f"addr_{s}"), F.greatest(F.size(c(f"addr_{s}")) - 1, F.lit(1)), F.lit(2))
+    given = lambda s: F.when(address, c(f"addr_s_{s}"))
+    alike = fuzzy_features(c("name_s_x"), c("name_s_y"), "n") | fuzzy_features(c("sk_x"), c("sk_y"), "sk") | {
+        "nsp_ratio": ("ratio", spaceless("x"), spaceless("y")), "nsp_partial": ("partial", spaceless("x"), spaceless("y")),
+        "a_tset": ("tset", given("x"), given("y")), "a_partial": ("partial", given("x"), given("y")),
+    }
+    shared = {f"{p}_idf_shared": idf_shared(c(f"{t}_x"), c(f"{t}_y"), c(f"{p}_w_x")) for p, t in (("a", "addr"), ("n", "name"))}
     d = d.withColumns({
         **exact_features(c("name_s_x"), c("name_s_y")), "sk_exact": (c("sk_x") == c("sk_y")).cast("int"), **set_features(c("addr_x"), c("addr_y"), "a"),
-        **number_features(c("nums_x"), c("nums_y")), "a_last2": F.size(F.array_intersect(tail("x"), tail("y"))), **fuzzy_features(c("name_s_x"), c("name_s_y"), "n"),
-        **fuzzy_features(c("sk_x"), c("sk_y"), "sk"), "nsp_ratio": fuzzy.ratio(spaceless("x"), spaceless("y")), "nsp_partial": fuzzy.partial_ratio(spaceless("x"), spaceless("y")),
-        "a_tset": F.when(address, fuzzy.token_set_ratio(c("addr_s_x"), c("addr_s_y"))), "a_partial": F.when(address, fuzzy.partial_ratio(c("addr_s_x"), c("addr_s_y"))),
+        **number_features(c("nums_x"), c("nums_y")), "a_last2": F.size(F.array_intersect(tail("x"), tail("y"))), **shared, "alike": fuzzy.similarities(alike),
         "a_missing_s1": (F.size("addr_x") == 0).cast("int"), "a_missing_pool": (F.size("addr_y") == 0).cast("int"), "is_s3": (c("src_y") == "S3").cast("int"),
+        "script_s1": c("script_x"), "script_pool": c("script_y"), "cross_script": (c("script_x") != c("script_y")).cast("int"),
         "name_freq_s1": c("name_freq_x"), "name_freq_pool": c("name_freq_y"),
-    })
-    for prefix, tokens in (("a", "addr"), ("n", "name")):  # shared IDF mass
-        df = records.where("src <> 'S1'").select("country", F.explode(F.array_distinct(tokens)).alias("tok")).groupBy("country", "tok").agg(F.count("*").alias("df"))
-        n = records.where("src <> 'S1'").groupBy("country").agg(F.count("*").alias("n_pool"))
-        shared = d.select("s1_row", "pool_row", "country", F.explode(F.array_intersect(f"{tokens}_x", f"{tokens}_y")).alias("tok")).join(df, ["country", "tok"]).join(n, "country")
-        mass = shared.groupBy("s1_row", "pool_row").agg(F.sum(F.ln("n_pool") - F.ln("df")).alias(f"{prefix}_idf_shared"))
-        d = d.join(mass, ["s1_row", "pool_row"], "left").na.fill(0.0, [f"{prefix}_idf_shared"])
-        d = d.withColumn(f"{prefix}_idf_cont", safe_div(c(f"{prefix}_idf_shared"), F.least(f"{prefix}_idf_x", f"{prefix}_idf_y")))
+    }).select("*", "alike.*")
+    d = d.withColumns({f"{p}_idf_cont": safe_div(c(f"{p}_idf_shared"), F.least(f"{p}_idf_x", f"{p}_idf_y")) for p in ("a", "n")})
     d = group_context(group_context(d, "n_tset", "n"), "a_idf_cont", "a")
-    return d.drop(*[x for x in d.columns if x.endswith(("_x", "_y"))])
+    return d.drop("alike", "n_idf_shared", *[x for x in d.columns if x.endswith(("_x", "_y"))])

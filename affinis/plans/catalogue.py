@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fuzzy, numeric, text
 from ..operators import blocking, decide, features, model, truthset
-from .relations import ADDRESS_TOKENS, records, scored, spine, table, truth
+from .relations import page_records, records, scored, spine, table, truth
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,7 +33,7 @@ SCORES = """scores as (
         case when n_gt = 0 then (coalesce(n_pred, 0) = 0)::double else 1.25 * coalesce(tp, 0)::double / (0.25 * n_gt::double + coalesce(n_pred, 0)) end as f05
     from truth t left join (select s1_row, count(*) as n_pred, sum(label)::bigint as tp from {kept} group by 1) using (s1_row))"""
 RECS = r"""recs as (
-    select doc_id as id, lang as country, case when doc_id % 4 = 0 then 'S1' when doc_id % 4 = 3 then 'S3' else 'S2' end as src, t[1:8] as name, t[9:24] as addr
+    select doc_id as id, lang as country, case when doc_id % 4 = 0 then 'S1' when doc_id % 4 = 3 then 'S3' else 'S2' end as src, t[1:8] as name, t[9:] as addr
     from (select *, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as t from documents))"""
 NAME_TOKENS = "toks as (select distinct id, country, src, unnest(name) as tok from recs)"
 ALL_TOKENS = """toks as (
@@ -66,11 +65,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def _bounded(spark: SparkSession, d: str) -> DataFrame:
-    """The records that the SQL forms cut: 16 words of address."""
-    return records(spark, d, ADDRESS_TOKENS)
-
-
 def _rounded(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in cols})
 
@@ -539,13 +533,13 @@ def _(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(text.numbers(F.col("text")), " ").alias("nums"))
 
 
-@query("o030_distinct_memo_fold", "select doc_id, md5(strip_accents(replace(text, 'ß', 'ss'))) as folded from documents where lang in ('de', 'es')")
-def _(spark, d):
-    docs = table(spark, d, "documents").where(F.col("lang").isin("de", "es")).select("doc_id", "text")
-    return text.memoized(docs, "text", "folded", text.to_latin, F.col("text").rlike(r"[^\x00-\x7f]")).select("doc_id", F.md5("folded").alias("folded"))
+FOLDED = "text"
+for _from, _to in text.LIGATURES.items():
+    FOLDED = f"replace({FOLDED}, '{_from}', '{_to}')"
+FOLDED = f"strip_accents({FOLDED})"
 
 
-@query("o030_distinct_memo_fold_whole")
+@query("o030_distinct_memo_fold", f"select doc_id, md5({FOLDED}) as folded from documents")
 def _(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "text")
     return text.memoized(docs, "text", "folded", text.to_latin, F.col("text").rlike(r"[^\x00-\x7f]")).select("doc_id", F.md5("folded").alias("folded"))
@@ -577,8 +571,8 @@ def _(spark, d):
 
 
 @query("o089_views", f"with {RECS}, {ALL_TOKENS} select country, src, count(*) as n, count(distinct tok) as words from toks where tok <> '' group by all")
-def _(spark, d, rows=_bounded):
-    return blocking.tokens(rows(spark, d), "W_all").groupBy("country", "src").agg(F.count("*").alias("n"), F.countDistinct("tok").alias("words"))
+def _(spark, d):
+    return blocking.tokens(records(spark, d), "W_all").groupBy("country", "src").agg(F.count("*").alias("n"), F.countDistinct("tok").alias("words"))
 
 
 @query("o091_concat", "select conv_id, turn, concat_ws(' | ', role, nullif(text, '')) as line from conversations")
@@ -594,42 +588,72 @@ def _(spark, d):
 
 @query("o073_normalized")
 def _(spark, d):
-    who = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("business_name"), F.concat_ws(" ", F.lit("12 MAIN STREET,"), "s_nationkey", F.lit("New  York")).alias("business_address"))
-    return text.normalized(who).select("id", "name_n", "name_s", "name_sk", "name_script", "addr_n", F.array_join("addr_nums", " ").alias("addr_nums"))
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("business_name"), F.col("text").alias("business_address"))
+    n = text.normalized(docs)
+    return n.select("doc_id", "name_script", *[F.md5(c).alias(c) for c in ("name_n", "name_s", "addr_n")], F.md5(F.array_join("addr_nums", " ")).alias("addr_nums"))
+
+
+def _normalized_sql() -> str:
+    """Folding, cleaning and codes of normalized(), for texts without Indic characters."""
+    clean = f"regexp_replace(regexp_replace(coalesce(text, ''), '{text.ZERO_WIDTH}', '', 'g'), '{text.APOSTROPHES}', '''', 'g')"
+    words = lambda c: rf"trim(regexp_replace(regexp_replace({c}, '[^\p{{L}}\p{{N}}\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+    phrases = "' ' || replace(a, ' ', '  ') || ' '"
+    for name, code in (text.US_STATE_PHRASES | text.INDIAN_STATE_PHRASES).items():
+        phrases = f"replace({phrases}, ' {name.replace(' ', '  ')} ', ' {code} ')"
+    codes = "map {" + ", ".join(f"'{k}': '{v}'" for k, v in (text.STREET_WORDS | text.US_STATES | text.INDIAN_STATES).items()) + "}"
+    legal = ", ".join(f"'{x}'" for x in text.SUFFIXES)
+    bare = "replace(replace(upper(f), '.', ''), '''', '')"
+    return rf"""
+        with folded as (select doc_id, text, {FOLDED.replace('text', 'clean')} as f from (select doc_id, text, {clean} as clean from documents)),
+        plain as (select *, {words(bare)} as n, {words('upper(f)')} as a from folded),
+        coded as (select *, array_to_string(list_filter(string_split(n, ' '), lambda t: t not in ({legal})), ' ') as s, string_split(trim(replace({phrases}, '  ', ' ')), ' ') as w from plain)
+        select doc_id, case when not regexp_matches(coalesce(text, ''), '[^\x00-\x7f]') then 'ascii' when regexp_matches(text, '[^\x00-\x7f\p{{Latin}}\p{{M}}]') then 'other' else 'latin_accented' end as name_script,
+            md5(n) as name_n, md5(case when s = '' then n else s end) as name_s, md5(array_to_string(list_transform(w, lambda t: coalesce({codes}[t], t)), ' ')) as addr_n,
+            md5(array_to_string(list_transform(regexp_extract_all(f, '(\d+)', 1), lambda x: coalesce(nullif(ltrim(x, '0'), ''), '0')), ' ')) as addr_nums from coded"""
+
+
+ORACLES["o073_normalized"] = _normalized_sql()
 
 
 @query("o082_romanize")
 def _(spark, d):
-    names = [("आदित्य प्रोडक्ट्स",), ("ಹರಿ ಲಾಜಿಸ್ಟಿಕ್ಸ್",), ("Léarning Çoncept",), ("plain",)]
-    return spark.createDataFrame(names, "name string").select("name", text.to_latin("name").alias("latin"), text.script_class(F.col("name")).alias("script"))
+    """All texts, and the names of the test fixtures, as no table holds Indic script."""
+    names = ("आदित्य प्रोडक्ट्स", "ಹರಿ ಲಾಜಿಸ್ಟಿಕ್ಸ್", "Léarning Çoncept", "plain")
+    rows = table(spark, d, "documents").select("doc_id", "text").unionByName(spark.createDataFrame([(-k - 1, n) for k, n in enumerate(names)], "doc_id long, text string"))
+    return text.memoized(rows, "text", "latin", text.to_latin, F.col("text").rlike(r"[^\x00-\x7f]")).select("doc_id", F.md5("latin").alias("latin"), text.script_class(F.col("text")).alias("script"))
 
 
 # Similarity
 
+def _titles(spark, d):
+    """(id, a, b): the title of each page and of the next one, in plain ASCII."""
+    r = page_records(spark, d).select("id", F.regexp_replace(F.array_join("name", " "), "[^a-z0-9 ]", "").alias("a"))
+    return r.join(r.select((F.col("id") - 1).alias("id"), F.col("a").alias("b")), "id")
 
 
-def _names(spark, d):
-    n = table(spark, d, "part").select("p_name").distinct()
-    a, b = n.select(F.col("p_name").alias("a")), n.select(F.col("p_name").alias("b"))
-    return a.join(b, (F.substring("a", 1, 1) == F.substring("b", 1, 1)) & (F.col("a") != F.col("b")))
+TITLES = r"""titles as (
+    select page_id as id, regexp_replace(array_to_string(regexp_extract_all(lower(regexp_extract(coalesce(html, ''), '(?is)<title>(.*?)</title>', 1)), '[\p{L}\p{N}]+'), ' '), '[^a-z0-9 ]', '', 'g') as a from pages),
+    twos as (select x.id, x.a, y.a as b from titles x join titles y on y.id = x.id + 1)"""
 
 
-@query("o098_jaro_winkler")
+@query("o098_jaro_winkler", f"with {TITLES} select id, round(100 * jaro_winkler_similarity(a, b), 4) as jw from twos")
 def _(spark, d):
-    return _names(spark, d).select("a", "b", F.round(fuzzy.jaro_winkler("a", "b"), 4).alias("jw"))
+    both = _titles(spark, d)
+    return both.withColumn("s", fuzzy.similarities({"jw": ("jw", F.col("a"), F.col("b"))})).select("id", F.round("s.jw", 4).alias("jw"))
 
 
 @query("o094_ratio")
 def _(spark, d):
-    a, b = F.col("a"), F.col("b")
-    return _names(spark, d).select("a", "b", fuzzy.ratio(a, b).alias("ratio"), fuzzy.token_sort_ratio(a, b).alias("tsort"), fuzzy.token_set_ratio(a, b).alias("tset"), fuzzy.partial_ratio(a, b).alias("part"))
+    both = _titles(spark, d)
+    scorers = ("ratio", "tsort", "tset", "partial")
+    return both.withColumn("s", fuzzy.similarities({n: (n, F.col("a"), F.col("b")) for n in scorers})).select("id", "a", "b", "s.*")
 
 
 @query("o104_list_ops", f"with {RECS} select id, len(list_distinct(name)) as n, len(list_distinct(list_intersect(name, addr))) as shared, name[1] as head, coalesce(array_to_string(addr[-2:], ' '), '') as tail, list_contains(name, 'the') as has_the from recs")
-def _(spark, d, rows=_bounded):
+def _(spark, d):
     tail = F.slice("addr", F.greatest(F.size("addr") - 1, F.lit(1)), F.lit(2))
     n = lambda c: F.size(c).cast("long")
-    return rows(spark, d).select("id", n(F.array_distinct("name")).alias("n"), n(F.array_intersect("name", "addr")).alias("shared"), F.get("name", F.lit(0)).alias("head"), F.array_join(tail, " ").alias("tail"), F.array_contains("name", "the").alias("has_the"))
+    return records(spark, d).select("id", n(F.array_distinct("name")).alias("n"), n(F.array_intersect("name", "addr")).alias("shared"), F.get("name", F.lit(0)).alias("head"), F.array_join(tail, " ").alias("tail"), F.array_contains("name", "the").alias("has_the"))
 
 
 @query("o109_cosine", """select a.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 6) as cos from embeddings a join embeddings b on b.vec_id = a.vec_id + 1""")
@@ -648,32 +672,31 @@ def _(spark, d):
 
 # Blocking
 
-@query("o101_vocab", f"with {RECS}, {NAME_TOKENS} select country, tok, count(*) as df from toks where src <> 'S1' group by 1, 2")
+@query("o101_vocab", f"with {RECS}, {ALL_TOKENS} select country, tok, count(*) as df from toks where src <> 'S1' group by 1, 2")
 def _(spark, d):
-    return blocking.tokens(records(spark, d), "W_name").where("src <> 'S1'").groupBy("country", "tok").agg(F.count("*").alias("df"))
+    return blocking.tokens(records(spark, d), "W_all").where("src <> 'S1'").groupBy("country", "tok").agg(F.count("*").alias("df"))
 
 
-@query("o114_idf_weights", f"with {RECS}, {NAME_TOKENS}, {WEIGHTS.format(cap=0.05)} select id, country, tok, q, norm2 from weighted where src = 'S1' and use")
+@query("o114_idf_weights", f"with {RECS}, {ALL_TOKENS}, {WEIGHTS.format(cap=0.05)} select id, country, tok, q, norm2 from weighted where src = 'S1' and use")
 def _(spark, d):
-    return blocking.weights(blocking.tokens(records(spark, d), "W_name"), 0.05)[1]
+    return blocking.weights(blocking.tokens(records(spark, d), "W_all"), 0.05)[1]
 
 
-@query("o031_idf_topk", f"with {RECS}, {NAME_TOKENS}, {WEIGHTS.format(cap=0.05)}, {TOP.format(k=5)} select s1_row, pool_row, country, round(score, 9) as score from cands")
+@query("o031_idf_topk", f"with {RECS}, {ALL_TOKENS}, {WEIGHTS.format(cap=0.05)}, {TOP.format(k=5)} select s1_row, pool_row, country, round(score, 9) as score from cands")
 def idf_top_k(spark, d):
-    return _rounded(blocking.top_k(records(spark, d), "W_name", 5).drop("rank"), "score", places=9)
+    return _rounded(blocking.top_k(records(spark, d), "W_all", 5).drop("rank"), "score", places=9)
 
 
 @query("o115_all_view_topk", f"with {RECS}, {ALL_TOKENS}, {WEIGHTS.format(cap=0.05)}, {TOP.format(k=10)} select s1_row, pool_row, country, round(score, 9) as score from cands")
-def _(spark, d, rows=_bounded):
-    return _rounded(blocking.top_k(rows(spark, d), "W_all", 10).drop("rank"), "score", places=9)
+def _(spark, d):
+    return _rounded(blocking.top_k(records(spark, d), "W_all", 10).drop("rank"), "score", places=9)
 
 
 #: The reference's candidates of each view and of each query, and its band of pairs that the expensive scorer sees.
 K, MAX_CANDIDATES, BAND = 40, 50, (0.002, 0.998)
 
 
-def _blocked(spark, d):
-    r = records(spark, d)
+def _blocked(r: DataFrame) -> DataFrame:
     return blocking.merged({v: blocking.top_k(r, v, K) for v in ("W_all", "C_all")}, MAX_CANDIDATES)
 
 
@@ -688,44 +711,45 @@ def _two(cap: int) -> str:
 
 
 @query("o064_capped_union", _two(12))
-def _(spark, d, rows=_bounded):
-    r = rows(spark, d)
+def _(spark, d):
+    r = records(spark, d)
     m = blocking.merged({"n": blocking.top_k(r, "W_name", 10), "a": blocking.top_k(r, "W_all", 10)}, 12)
     return m.select("s1_row", "pool_row", *[F.col(c).cast("long").alias(c) for c in ("cand_pos", "rank_n", "rank_a")])
 
 
 @query("o119_reverse_competition", f"with m as ({_two(12)}) select s1_row, pool_row, rank() over (partition by pool_row order by rank_a is null, rank_a) as rc from m")
-def _(spark, d, rows=_bounded):
-    r = rows(spark, d)
+def _(spark, d):
+    r = records(spark, d)
     m = blocking.merged({"n": blocking.top_k(r, "W_name", 10), "a": blocking.top_k(r, "W_all", 10)}, 12)
     order = Window.partitionBy("pool_row").orderBy(F.col("rank_a").isNull(), "rank_a")
     return m.select("s1_row", "pool_row", F.rank().over(order).cast("long").alias("rc"))
 
 
-#: Those that their SQL binds to the bounded records, over whole texts.
-for _name in ("o064_capped_union", "o089_views", "o104_list_ops", "o115_all_view_topk", "o119_reverse_competition"):
-    QUERIES[f"{_name}_whole"] = functools.partial(QUERIES[_name], rows=records)
+#: Three minwise words stand for a text: copies share them.
+SKETCH = "array_to_string(list_sort(list_transform(list_distinct(list_concat(name, addr)), lambda t: md5(t)))[1:3], '')"
 
 
 @query("o116_recall")
 def _(spark, d):
-    r = records(spark, d)
-    key = F.md5(F.concat_ws(" ", F.slice("name", 1, 4)))
-    same = r.where("src = 'S1'").select(F.col("id").alias("s1_row"), "country", key.alias("k")).join(r.where("src <> 'S1'").select(F.col("id").alias("pool_row"), key.alias("k")), "k")
-    return _rounded(blocking.recall(same, _blocked(spark, d), "country"), "recall")
+    r = records(spark, d).withColumn("all", F.concat("name", "addr"))
+    key = F.array_join(F.slice(F.array_sort(F.transform(F.array_distinct("all"), F.md5)), 1, 3), "")
+    r = r.withColumn("k", F.when(F.size("all") > 0, key))
+    same = r.where("src = 'S1'").select(F.col("id").alias("s1_row"), "country", "k").join(r.where("src <> 'S1'").select(F.col("id").alias("pool_row"), "country", "k"), ["country", "k"])
+    return _rounded(blocking.recall(same, _blocked(r.drop("all", "k")), "country"), "recall")
 
 
-@query("o118_record_features", f"""with {RECS}, pool as (select * from recs where src <> 'S1'), t as (select distinct id, country, unnest(name) as tok from recs),
-    df as (select country, tok, count(distinct id) as df from (select id, country, unnest(name) as tok from pool) group by 1, 2), n as (select country, count(*) as n from pool group by 1)
-    select id, count(*) as name_n, round(sum(ln(n::double) - ln(coalesce(df, 1)::double)), 6) as name_idf from t left join df using (country, tok) join n using (country) group by 1""")
+@query("o118_record_features", f"""with {RECS}, t as (select distinct id, country, src, unnest(list_concat(name, addr)) as tok from recs),
+    df as (select country, tok, count(*) as df from t where src <> 'S1' group by 1, 2), n as (select country, count(*) as n from recs where src <> 'S1' group by 1)
+    select id, count(*) as all_n, round(sum(ln(n::double) - ln(coalesce(df, 1)::double)), 6) as all_idf from t left join df using (country, tok) join n using (country) group by 1""")
 def _(spark, d):
-    r = features.record_features(records(spark, d), "name", "name").where("name_n > 0")
-    return _rounded(r.select("id", "name_n", "name_idf"), "name_idf")
+    r = features.record_features(records(spark, d).withColumn("all", F.concat("name", "addr")), "all", "all").where("all_n > 0")
+    return _rounded(r.select("id", "all_n", "all_idf"), "all_idf")
 
 
 @query("o120_pair_features")
 def _(spark, d):
-    return features.pair_features(_blocked(spark, d), records(spark, d), ("W_all", "C_all"))
+    r = page_records(spark, d)
+    return features.pair_features(_blocked(r), r, ("W_all", "C_all"))
 
 
 # Models

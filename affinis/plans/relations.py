@@ -2,25 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NAME_TOKENS, ADDRESS_TOKENS = 8, 16
+NAME_TOKENS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def records(spark: SparkSession, sf_dir: str, address_tokens: int | None = None) -> DataFrame:
-    """(id, country, src, name, addr): documents as records; name and addr are token arrays. Every fourth is a query.
+def _side(number: Column) -> Column:
+    """Every fourth record is a query; the others are the two sources of the pool."""
+    return F.when(number % 4 == 0, "S1").when(number % 4 == 3, "S3").otherwise("S2")
 
-    addr holds all words after the name, or the first address_tokens of them.
-    """
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, country, src, name, addr): documents as records. name: the first words of a text; addr: all its others."""
     tokens = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    kind = F.col("doc_id") % 4
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("country"), F.when(kind == 0, "S1").when(kind == 3, "S3").otherwise("S2").alias("src"), tokens.alias("t"))
-    return docs.select("id", "country", "src", F.slice("t", 1, NAME_TOKENS).alias("name"), F.slice("t", F.lit(NAME_TOKENS + 1), F.size("t") if address_tokens is None else F.lit(address_tokens)).alias("addr"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("country"), _side(F.col("doc_id")).alias("src"), tokens.alias("t"))
+    return docs.select("id", "country", "src", F.slice("t", 1, NAME_TOKENS).alias("name"), F.slice("t", F.lit(NAME_TOKENS + 1), F.greatest(F.size("t"), F.lit(0))).alias("addr"))
+
+
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, country, src, name, addr): pages as records. name: the words of a page's title; addr: those of its url."""
+    words = lambda c: F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    title, lang = (F.regexp_extract("html", p, 1) for p in (r"(?is)<title>(.*?)</title>", r'(?i)<html[^>]*\slang="([^"]*)"'))
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.coalesce(lang, F.lit("")).alias("country"), _side(F.col("page_id")).alias("src"), words(title).alias("name"), words(F.col("url")).alias("addr"))
 
 
 def scored(spark: SparkSession, sf_dir: str, contended: bool = True) -> DataFrame:

@@ -38,9 +38,9 @@ def test_agrees_with_sql(spark, duck, name):
     assert Counter(tuple(plain(r[c]) for c in order) for r in df.collect()) == want
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES) - {"o127_gbt", "o135_cross_fit", "o132_combiner_fit"}))
+@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(catalogue.ORACLES) ))
 def test_runs(spark, name):
-    assert catalogue.QUERIES[name](spark, SF).columns
+    assert catalogue.QUERIES[name](spark, SF).count() > 0
 
 
 def test_entry(spark):

@@ -44,10 +44,37 @@ def test_ratios():
     assert round(fuzzy.jaro_winkler_of("MARTHA", "MARHTA"), 2) == 96.11 and round(fuzzy.jaro_winkler_of("DIXON", "DICKSONX"), 2) == 81.33
 
 
-def test_token_ratios(spark):
-    df = spark.createDataFrame([("new york mets", "mets york new"), ("a b", "a b c d"), ("", "x"), ("a", "b")], "a string, b string")
-    got = df.select(fuzzy.token_sort_ratio(F.col("a"), F.col("b")).alias("s"), fuzzy.token_set_ratio(F.col("a"), F.col("b")).alias("t")).collect()
-    assert got[0].s == got[0].t == 100 and got[1].t == 100 and got[2].t == 0 and got[3].t == 0
+def plain_ratio(a, b):
+    return 200 * plain_lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+
+def plain_partial(a, b):
+    """Every stretch of the longer text that is as long as the shorter, or cut by an end."""
+    if not a or not b:
+        return 100.0 if a == b else 0.0
+    pairs = [(a, b)] if len(a) < len(b) else [(b, a)] if len(b) < len(a) else [(a, b), (b, a)]
+    return max(plain_ratio(s, t[max(i, 0) : i + len(s)]) for s, t in pairs for i in range(1 - len(s), len(t)))
+
+
+def plain_token_set(a, b):
+    x, y = set(a.split()), set(b.split())
+    if not x or not y:
+        return 0.0
+    line = lambda *sets: " ".join(t for s in sets for t in sorted(s))
+    s, sx, sy = line(x & y), line(x & y, x - y), line(x & y, y - x)
+    return max([plain_ratio(sx, sy)] + ([plain_ratio(s, sx), plain_ratio(s, sy)] if s else []))
+
+
+def test_ratios_by_brute_force(spark):
+    rng = random.Random(16)
+    rows = [("".join(rng.choices("abc ", k=rng.randrange(14))), "".join(rng.choices("abc ", k=rng.randrange(14)))) for _ in range(400)]
+    rows += [("new york mets", "mets york new"), ("a b", "a b c d"), ("", "x"), ("a", "b"), ("漢字 é", "é 漢"), (None, "a")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string")
+    got = df.withColumn("s", fuzzy.similarities({n: (n, F.col("a"), F.col("b")) for n in fuzzy.SCORERS})).orderBy("i").collect()
+    for r in got[:-1]:
+        want = (plain_ratio(r.a, r.b), plain_ratio(" ".join(sorted(r.a.split())), " ".join(sorted(r.b.split()))), plain_token_set(r.a, r.b), plain_partial(r.a, r.b))
+        assert [round(x, 9) for x in want] == [round(x, 9) for x in (r.s.ratio, r.s.tsort, r.s.tset, r.s.partial)], r
+    assert got[-1].s.ratio is None and got[-1].s.jw is None
 
 
 def test_tsv_round_trip(spark, tmp_path):
