@@ -37,7 +37,7 @@ from .textops import mixed, sliced, trim, word_hashes
 #: Tokens of the longest context; occurrences from which a context and a next symbol of it count.
 DEPTH, LEAST = 2, 2
 #: Shares of the training tokens from which a word, or a longer sequence, is broadcast.
-MIN_WORD, MIN_PAIR = 1e-6, 2e-6
+MIN_WORD, MIN_PAIR = 5e-7, 5e-7
 #: log2 of the bits of a bitmap, at most.
 BITMAP = 27
 END = int(np.uint64(0x454E445F4F465F5F).astype(np.int64))
@@ -217,14 +217,16 @@ def _followers(train: DataFrame, order: int, seen: Bitmap | None) -> DataFrame:
             g, e = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(sequence_key(g, e)), *b.columns], ["k", "g", "e", "n"])
 
-    sums = train.select("text").mapInArrow(count, "g long, e long, n long").groupBy("g", "e").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    summed = train.select("text").mapInArrow(count, "g long, e long, n long").repartition("g", "e")  # summed in the task already
+    sums = summed.groupBy("g", "e").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
     return stored(sums.mapInArrow(keyed, "k long, g long, e long, n long"))
 
 
-def _level(pairs: DataFrame, below: DataFrame, corpus: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(table (k, n, p) of the sequences, their terms (k, x, n), terms of the states (k, x)).
+def _level(pairs: DataFrame, below: DataFrame, corpus: int, last: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(table (k, n, p, x) of the sequences, terms (k, x) of the states, stored tables behind both).
 
     pairs: (k, g, e, n); below: (k, n, p) of the sequences one token shorter: count, and probability of the last token.
+    x: the sequence's own term. last: only sequences whose context is a state are wanted.
     """
     near = stored(pairs.join(below.select(F.col("k").alias("e"), F.col("p").alias("was")), "e").select("k", "g", "n", "was"))
     sums = near.groupBy("g").agg(F.count("*").alias("kinds"), F.sum("n").alias("seen"), F.sum(F.col("n") * F.log(F.col("n") / F.col("was"))).alias("gain"), F.sum("was").alias("mass"))
@@ -233,11 +235,14 @@ def _level(pairs: DataFrame, below: DataFrame, corpus: int) -> tuple[DataFrame,
     other = F.when(rest > 0, rest * F.log(rest / total / F.greatest(1 - F.col("mass"), F.lit(1e-12)))).otherwise(0.0)
     ctx = ctx.where(F.col("gain") - F.col("seen") * F.log(total) + other > 0.5 * math.log(max(corpus, 2)) * F.col("kinds"))
     states = stored(ctx.select("g", (F.col("total") + F.col("kinds") + 1).cast("double").alias("all"), ((rest + F.col("kinds") + 1) / (F.col("total") + F.col("kinds") + 1)).alias("back")))
-    p = F.when(F.col("back").isNull(), F.col("was")).otherwise(F.col("n") / F.col("all") + F.col("back") * F.col("was"))
-    x = F.when(F.col("back").isNull(), F.lit(0.0)).otherwise(F.log10("p") - F.log10(F.col("back") * F.col("was")))
-    table = stored(near.join(states, "g", "left").withColumn("p", p).withColumn("x", x).select("k", "n", "p", "x"))
-    dropped(near)
-    return table.select("k", "n", "p"), table.select("k", "x", "n"), states.select(F.col("g").alias("k"), F.log10("back").alias("x"))
+    mixture = F.col("n") / F.col("all") + F.col("back") * F.col("was")
+    p = F.when(F.col("back").isNull(), F.col("was")).otherwise(mixture)
+    x = F.when(F.col("back").isNull(), F.lit(0.0)).otherwise(F.log10(mixture) - F.log10(F.col("back") * F.col("was")))
+    table = near.join(states, "g", "inner" if last else "left").select("k", "n", p.alias("p"), x.alias("x"))
+    if not last:
+        table = stored(table)
+        dropped(near)
+    return table, states.select(F.col("g").alias("k"), F.log10("back").alias("x")), [near if last else table, states]
 
 
 def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: float = MIN_WORD, min_pair: float = MIN_PAIR, bits: int = BITMAP) -> Tree:
@@ -246,14 +251,15 @@ def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: floa
     zero = F.lit(0.0)
     below = counts.select("k", "n", ((F.col("n") + 1) / F.lit(float(total + distinct + 1))).alias("p"))
     terms = counts.select("k", F.log10(F.col("n") + 1.0).alias("base"), zero.alias("gain"), "n", F.lit(1).alias("order"))
-    seen, none = None, F.lit(0).cast("long")
+    seen, none, behind = None, F.lit(0).cast("long"), []
     for order in range(1, depth + 1):
         pairs = _followers(train, order, seen)
         kinds = pairs.count()
         if not kinds:
             break
-        below, own, states = _level(pairs, below, total)
-        terms = terms.unionByName(own.select("k", zero.alias("base"), F.col("x").alias("gain"), "n", F.lit(2).alias("order")))
+        below, states, tables = _level(pairs, below, total, order == depth)
+        behind += tables
+        terms = terms.unionByName(below.select("k", zero.alias("base"), F.col("x").alias("gain"), "n", F.lit(2).alias("order")))
         terms = terms.unionByName(states.select("k", zero.alias("base"), F.col("x").alias("gain"), none.alias("n"), F.lit(0).alias("order")))
         if order < depth:
             seen = _bitmap(pairs, kinds, bits)
@@ -261,6 +267,8 @@ def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: floa
     model = terms.groupBy("k").agg(F.sum("base").alias("base"), F.sum("gain").alias("gain"), F.max("n").alias("n"), F.max("order").alias("order"))
     often = F.col("n") >= F.when(F.col("order") == 1, min_word).otherwise(min_pair) * F.lit(float(total))
     model = stored(model.where("base <> 0 or gain <> 0").select("k", "base", "gain", often.alias("often")))
+    for t in behind:
+        dropped(t)
     top = model.where("often").select("k", "base", "gain").toArrow()  # at most 1 / min_word + depth / min_pair rows
     order = np.argsort(top.column("k").to_numpy())
     rest = model.where("not often")
