@@ -6,8 +6,8 @@ compared exhaustively, larger ones branch on, to DEPTH. Two documents of similar
 probability s**d in one tree, so with depth 3 and the trees that the threshold asks for (8 at 0.85, 11 at 0.80) 99.95 % of
 links are met, and nearly all where nodes are small after one step. Nodes that are large even then hold groups of near copies: their documents meet in blocks,
 each with the node's pivots, and when the links so found have been joined up, every document outside a node's largest
-component is compared with the whole node, tile by tile. Signatures choose what is compared; every link is confirmed on full
-sets. Within a block, pairs that are connected already are not compared again, so work and output stay linear.
+component is compared with the whole node, tile by tile. Signatures choose what is compared, and sets travel only for what
+they choose; every link is confirmed on full sets. Within a block, pairs that are connected already are not compared again, so work and output stay linear.
 
 Components come from minimum labels with pointer jumping. Nulls and edge cases: a text without words (or null) has no
 shingles and is linked with nothing; a text of fewer than five words is one shingle; rows that repeat an id are one
@@ -186,44 +186,64 @@ def _confirmed(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return run
 
 
+def _tiled(batches: Iterator[pa.RecordBatch], judge: Callable[[list[tuple]], list[tuple[int, int]]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """What judge says of each tile; rows (block, v, label, sig, ...) come sorted by block."""
+    held: dict[int, tuple] = {}
+    now = None
+
+    def judged() -> pa.RecordBatch:
+        found = judge(list(held.values()))
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names)
+
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if r[0] != now and held:
+                yield judged()
+                held = {}
+            now = r[0]
+            held[r[1]] = r
+    if held:
+        yield judged()
+
+
+def _across_labels(rows: list[tuple], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row the later ones with another label that are hopeful, by signatures."""
+    sig, label, least = np.array([r[3] for r in rows], np.int32), np.array([r[2] for r in rows]), least_equal(percent)
+    for i in range(len(rows) - 1):
+        other = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        yield i, other[(sig[other] == sig[i]).mean(1) >= least]
+
+
+def _wanted(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(block, v) of the rows (block, v, label, sig) that have a hopeful partner of another component in their tile."""
+
+    def judge(rows: list[tuple]) -> list[tuple[int, int]]:
+        use = {k for i, others in _across_labels(rows, percent) for k in ([i, *others.tolist()] if len(others) else ())}
+        return [(rows[k][0], rows[k][1]) for k in sorted(use)]
+
+    return lambda batches: _tiled(batches, judge, ["block", "v"])
+
+
 def _tiles(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Links (a, b) across components in each tile; rows (block, v, label, sig, set) come sorted by block.
+    """Links (a, b) across components in each tile, from rows (block, v, label, sig, set).
 
     Only hopeful pairs of components that are still apart are compared in full.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(rows: list[tuple]) -> list[tuple[int, int]]:
-            found, lead, least = [], {}, least_equal(percent)
-            u, sig = Union(len(rows)), np.array([r[3] for r in rows], np.int32)
-            for i, r in enumerate(rows):
-                u.join(i, lead.setdefault(r[2], i))
-            sets = [np.frombuffer(r[4], np.uint64) for r in rows]
-            for i in range(len(rows) - 1):
-                own = np.array([u.root(j) for j in range(len(rows))])
-                for j in (np.flatnonzero(((sig[i + 1 :] == sig[i]).mean(1) >= least) & (own[i + 1 :] != own[i])) + i + 1).tolist():
-                    a, b = u.root(i), u.root(j)
-                    if a != b and linked(sets[i], sets[j], percent):
-                        u.join(a, b)
-                        found.append((rows[i][1], rows[j][1]))
-            return found
-
-        def links_of(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-        held: dict[int, tuple] = {}
-        now = None
-        for b in batches:
-            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if r[0] != now and held:
-                    yield links_of(flush(list(held.values())))
-                    held = {}
-                now = r[0]
-                held[r[1]] = r
-        if held:
-            yield links_of(flush(list(held.values())))
+    def judge(rows: list[tuple]) -> list[tuple[int, int]]:
+        found, lead, u = [], {}, Union(len(rows))
+        for i, r in enumerate(rows):
+            u.join(i, lead.setdefault(r[2], i))
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        for i, others in _across_labels(rows, percent):
+            for j in others.tolist():
+                a, b = u.root(i), u.root(j)
+                if a != b and linked(sets[i], sets[j], percent):
+                    u.join(a, b)
+                    found.append((rows[i][1], rows[j][1]))
+        return found
 
-    return run
+    return lambda batches: _tiled(batches, judge, ["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -235,6 +255,7 @@ def components(links: DataFrame) -> DataFrame:
         fresh = labels.join(near, labels.v == near.b, "left").select("v", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("v").alias("up_v"), F.col("label").alias("up"))
         moved = stored(fresh.join(up, fresh.label == up.up_v, "left").select("v", "was", F.least("label", "up").alias("label")))
+        dropped(labels)
         labels = moved.select("v", "label")
         if moved.where("label <> was").isEmpty():
             return labels
@@ -298,8 +319,14 @@ def _across(large: DataFrame, labels: DataFrame, texts: DataFrame, vertices: Dat
     minor = whole.where("label <> main").select("node", "v", "label", deal("strip", "strips").alias("strip"), count("parts").alias("part"))
     every = whole.select("node", "v", "label", count("strips").alias("strip"), deal("part", "parts").alias("part"))
     tile = F.xxhash64("node", "part", "strip").alias("block")
-    full = _fetched(whole.select("v").distinct(), texts, vertices, sets).join(vertices.select("v", "sig"), "v")
-    rows = minor.select(tile, "v", "label").union(every.select(tile, "v", "label")).join(full, "v").select("block", "v", "label", "sig", "set")
+    tiles = minor.select(tile, "v", "label").union(every.select(tile, "v", "label"))
+    rows = tiles.join(vertices.select("v", "sig"), "v").select("block", "v", "label", "sig")
+    wanted = stored(_gathered(rows).mapInArrow(_wanted(percent), "block long, v long").distinct())  # sets travel for these only
+    if wanted.isEmpty():
+        return None
+    full = _fetched(wanted.select("v").distinct(), texts, vertices, sets).join(vertices.select("v", "sig"), "v")
+    label = whole.select("v", "label").distinct()
+    rows = wanted.join(label, "v").join(full, "v").select("block", "v", "label", "sig", "set")
     return stored(_gathered(rows).mapInArrow(_tiles(percent), "a long, b long").distinct())
 
 
@@ -348,7 +375,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """df with one document of each group of near duplicates: that of the smallest id."""
-    kept = near_duplicates(df, id_col, text_col, percent).where("kept and id is not null").select(F.col("id").alias("_kept_id")).distinct()
-    held = df.join(kept, df[id_col] == F.col("_kept_id"), "left_semi")
-    return held.unionByName(df.where(F.col(id_col).isNull()))
+    """df with one document of each group of near duplicates: that of the smallest id, and of its rows the smallest one.
+
+    Rows without an id are kept.
+    """
+    kept = near_duplicates(df, id_col, text_col, percent).where("kept and id is not null").groupBy(F.col("id").alias("_kept_id")).agg(F.count("*").alias("_rows"))
+    kept = stored(kept)
+    of = lambda ids: df.join(ids.select("_kept_id"), df[id_col] == F.col("_kept_id"), "left_semi")
+    out = of(kept.where("_rows = 1")).unionByName(df.where(F.col(id_col).isNull()))
+    again = kept.where("_rows > 1")
+    if again.isEmpty():
+        return out
+    least = of(again).groupBy(F.col(id_col).alias("_kept_id")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("_row"))
+    return out.unionByName(least.select("_row.*"))

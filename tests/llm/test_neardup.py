@@ -70,6 +70,24 @@ def test_repeated_and_null_ids(spark):
     assert neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (1, "a b c d e f", None), (2, "A b c d e f", "y"), (3, "other words of a text here", "z"), (None, None, "n"), (None, None, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _rows string")
+    got = sorted((tuple(r) for r in neardup.without_copies(df).collect()), key=str)
+    assert got == sorted([(1, "a b c d e f", None), (3, "other words of a text here", "z"), (None, None, "n"), (None, None, "n")], key=str)
+
+
+def test_pages_of_one_template(spark):
+    """Nodes of many components: pages that share a template but are no copies, and copies among them."""
+    rng = random.Random(3)
+    template = " ".join(f"t{i}" for i in range(300))
+    rows = [(i, template + " " + " ".join(f"p{i}x{rng.randrange(10**6)}" for _ in range(60))) for i in range(700)]
+    rows += [(1000 + i, rows[7 * i][1] + " more") for i in range(60)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {i: i for i, _ in rows} | {1000 + i: 7 * i for i in range(60)}
+    assert {r.id: r.component_id for r in got} == want
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 2**63, 1000, dtype=np.uint64))
