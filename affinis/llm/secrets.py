@@ -31,27 +31,52 @@ GENERIC = r"[A-Za-z0-9+/_=-]{24,}"
 
 #: A value known to more owners or repositories than these is an example that is copied about.
 MAX_OWNERS, MAX_REPOS = 2, 4
+#: Matches that are placed together.
+BLOCK = 256
 
 NONE = "array<struct<s:bigint,r:int,e:bigint,v:string>>"
 
 
+def _blocks(rows: Column) -> Column:
+    """Numbers of the blocks of BLOCK elements that an array falls into."""
+    none = F.array().cast("array<int>")
+    return F.when(F.size(rows) > 0, F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / BLOCK).cast("int"))).otherwise(none)
+
+
+def _block(rows: Column, b: Column) -> Column:
+    return F.slice(rows, b * BLOCK + 1, F.lit(BLOCK))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
 def _spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
-    """All leftmost non-overlapping matches as (start, kind's rank, end, value of the group), in code points."""
+    """All leftmost non-overlapping matches as (start, kind's rank, end, value of the group), in code points.
+
+    A block's matches are placed one after the other from where the blocks before it end, so work is linear in matches.
+    """
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
 
-    def walk(z: Column) -> Column:
-        def step(acc: Column, k: Column) -> Column:
-            start = acc["at"] + F.length(F.get(z["gaps"], k))
-            end = start + F.length(F.get(z["hits"], k))
-            span = F.struct(start.alias("s"), F.lit(kind).alias("r"), end.alias("e"), F.get(z["values"], k).alias("v"))
+    def walk(rows: Column, begin: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + x["gap"]
+            end = start + x["n"]
+            span = F.struct(start.alias("s"), F.lit(kind).alias("r"), end.alias("e"), x["v"].alias("v"))
             return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
 
-        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(NONE).alias("out"))
-        ks = F.when(F.size(z["hits"]) > 0, F.sequence(F.lit(0), F.size(z["hits"]) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(ks, zero, lambda a, k: step(a, k).cast(f"struct<at:bigint,out:{NONE}>"), lambda a: a["out"])
+        zero = F.struct(begin.alias("at"), F.array().cast(NONE).alias("out"))
+        return F.aggregate(rows, zero, lambda a, x: step(a, x).cast(f"struct<at:bigint,out:{NONE}>"), lambda a: a["out"])
 
-    return let(F.struct(gaps.alias("gaps"), hits.alias("hits"), values.alias("values")), walk)
+    def placed(z: Column) -> Column:
+        sizes = F.transform(_blocks(z), lambda b: _sum(F.transform(_block(z, b), lambda x: x["gap"] + x["n"])))
+        return let(sizes, lambda n: F.flatten(F.transform(_blocks(z), lambda b: walk(_block(z, b), _sum(F.slice(n, F.lit(1), b))))))
+
+    long = lambda c: F.length(c).cast("long")
+    rows = let(F.struct(hits.alias("hits"), gaps.alias("gaps"), values.alias("values")), lambda z: F.transform(
+        z["hits"], lambda hit, k: F.struct(long(F.get(z["gaps"], k)).alias("gap"), long(hit).alias("n"), F.get(z["values"], k).alias("v"))))
+    return let(rows, placed)
 
 
 def _where(may: Column, spans: Column) -> Column:
@@ -72,13 +97,23 @@ def generic_spans(text: Column) -> Column:
     return F.filter(_where(text.rlike(GENERIC), _spans(text, GENERIC, 3)), live)
 
 
+def _apart(generic: Column, base: Column) -> Column:
+    """The generic spans that touch no base span; a block of them looks only at the base spans in its reach."""
+    touch = lambda a, b: (a["s"] < b["e"]) & (b["s"] < a["e"])
+
+    def of(rows: Column) -> Column:
+        reach = F.struct(rows[0]["s"].alias("s"), F.element_at(rows, -1)["e"].alias("e"))
+        return let(F.filter(base, lambda b: touch(reach, b)), lambda near: F.filter(rows, lambda g: ~F.exists(near, lambda b: touch(g, b))))
+
+    return F.flatten(F.transform(_blocks(generic), lambda b: let(_block(generic, b), of)))
+
+
 def _candidates(df: DataFrame, id_col: str, text_col: str, owner: Column, repo: Column) -> DataFrame:
     """Per row: base spans and those generic spans that touch none of them; values only as hashes."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     hashed = lambda a: F.transform(a, lambda x: F.struct(x["s"].alias("s"), x["r"].alias("r"), x["e"].alias("e"), F.sha2(x["v"], 256).alias("h")))
-    apart = lambda z: F.filter(z["g"], lambda g: ~F.exists(z["b"], lambda b: (g["s"] < b["e"]) & (b["s"] < g["e"])))
     both = F.struct(base_spans(text).alias("b"), generic_spans(text).alias("g"))
-    found = let(both, lambda z: F.struct(hashed(z["b"]).alias("base"), hashed(apart(z)).alias("more")))
+    found = let(both, lambda z: F.struct(hashed(z["b"]).alias("base"), hashed(_apart(z["g"], z["b"])).alias("more")))
     row = df.select(F.col(id_col).alias("id"), owner.alias("owner"), repo.alias("repo"), found.alias("f"))
     return row.select("id", "owner", "repo", F.monotonically_increasing_id().alias("row"), "f.base", "f.more")
 
@@ -104,14 +139,14 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner: C
     empty = F.lit("")
     rows = stored(_candidates(df, id_col, text_col, empty if owner is None else F.coalesce(owner.cast("string"), empty), empty if repo is None else F.coalesce(repo.cast("string"), empty)))
     some = rows.where((F.size("base") > 0) | (F.size("more") > 0))
-    each = some.select("row", "owner", "repo", F.explode(F.array_distinct(F.transform(F.concat("base", "more"), lambda x: x["h"]))).alias("h"))
-    verdict = stored(ownership(each.select("h", "owner", "repo")).select("h", "live"))  # cut, so that a hot value's rows can be split
-    live = each.select("row", "h").join(verdict, "h").where("live").groupBy("row").agg(F.collect_set("h").alias("live_h"))
+    each = some.select("row", "owner", "repo", F.explode(F.concat("base", "more")).alias("x")).select("row", "owner", "repo", "x", "x.h")
+    verdict = stored(ownership(each.select("h", "owner", "repo")).where("live").select("h"))  # stored, so that a hot value's rows can be split
+    generic = F.col("x.r") == KINDS.index("generic")
+    live = each.select("row", "x", "h").join(verdict, "h").groupBy("row").agg(F.count_if(~generic).alias("live"), F.collect_list(F.when(generic, F.col("x"))).alias("live_more"))
     joined = rows.join(live, "row", "left")
-    known = F.coalesce("live_h", F.array().cast("array<string>"))
-    is_live = lambda x: F.array_contains(known, x["h"])
-    n_live = F.size(F.filter("base", is_live)).cast("long")
-    return joined.select("id", "base", F.filter("more", is_live).alias("more"), n_live.alias("live"), (F.size("base") - n_live).alias("example"))
+    n_live = F.coalesce("live", F.lit(0)).cast("long")
+    more = F.coalesce(F.sort_array("live_more"), F.filter("more", lambda x: F.lit(False)))
+    return joined.select("id", "base", more.alias("more"), n_live.alias("live"), (F.size("base") - n_live).alias("example"))
 
 
 def _listed(spans: Column) -> Column:
@@ -130,16 +165,27 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """text with each maximal run of overlapping spans (sorted by start) replaced by mark."""
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    kind = "struct<at:bigint,out:string>"
+    """text with each maximal run of overlapping spans (sorted by start) replaced by mark. Blocks of spans read their stretch of text only."""
+    kind = "struct<at:bigint,out:array<string>>"
+    upto = lambda rows: F.coalesce(F.array_max(F.transform(rows, lambda x: x["e"])), F.lit(0).cast("long"))
+
+    def pieces(rows: Column, begin: Column) -> Column:
+        def cut(stretch: Column) -> Column:
+            def step(acc: Column, x: Column) -> Column:
+                gap = F.substr(stretch, (acc["at"] - begin + 1).cast("int"), F.greatest(x["s"] - acc["at"], F.lit(0)).cast("int"))
+                fresh = F.struct(x["e"].alias("at"), F.concat(acc["out"], F.array(gap, F.lit(mark))).alias("out")).cast(kind)
+                return F.when(x["s"] >= acc["at"], fresh).otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out")).cast(kind))
+
+            return F.aggregate(rows, F.struct(begin.alias("at"), F.array().cast("array<string>").alias("out")).cast(kind), step, lambda a: a["out"])
+
+        return let(F.substr(text, (begin + 1).cast("int"), F.greatest(upto(rows) - begin, F.lit(0)).cast("int")), cut)
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substr(text, (acc["at"] + 1).cast("int"), (x["s"] - acc["at"]).cast("int"))
-        fresh = F.struct(x["e"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out")).cast(kind)
-        return F.when(x["s"] >= acc["at"], fresh).otherwise(F.struct(F.greatest(acc["at"], x["e"]).alias("at"), acc["out"].alias("out")).cast(kind))
+    def whole(z: Column) -> Column:
+        parts = F.transform(_blocks(z["spans"]), lambda b: let(_block(z["spans"], b), lambda rows: pieces(rows, F.coalesce(F.array_max(F.slice(z["ends"], F.lit(1), b)), F.lit(0).cast("long")))))
+        return F.concat(F.array_join(F.flatten(parts), ""), F.substr(text, (upto(z["spans"]) + 1).cast("int"), F.length(text)))
 
-    return F.aggregate(spans, zero.cast(kind), step, lambda a: F.concat(a["out"], F.substr(text, (a["at"] + 1).cast("int"), F.length(text))))
+    ends = F.transform(_blocks(spans), lambda b: upto(_block(spans, b)))
+    return let(F.struct(spans.alias("spans"), ends.alias("ends")), whole)
 
 
 def redact(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "lang") -> DataFrame:

@@ -58,6 +58,27 @@ def test_secret_scan(spark, docs):
     assert len(got) == docs.count()
 
 
+def test_many_matches_in_one_text(spark):
+    """Work is linear in a text's matches; spans and blotted texts are as in plain Python."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    text = " ".join(f"token={i:08d}" + (" " + f"Q{i:05d}" * 5 if i % 50 == 0 else "") for i in range(n))
+    df = spark.createDataFrame([(1, text, "en", "own"), (2, "é " + text[:40_000], "en", "own")], "doc_id long, text string, lang string, source string")
+    began = time.time()
+    got = {r.doc_id: r for r in secrets.digest(secrets.scan(df, "doc_id", "text", F.col("source"), F.col("lang"))).collect()}
+    assert time.time() - began < 60
+    assert got[1].n_assign == n and got[1].n_generic == n // 50
+    for i, t in ((1, text), (2, "é " + text[:40_000])):
+        want = sorted(base(t) + [(m.start(), 3, m.end(), m[0]) for m in re.finditer(r"(Q[0-9]{5}){5}|(Q[0-9]{5}){4}Q[0-9]*$", t)])
+        assert got[i].spans == ",".join(f"{secrets.KINDS[x[1]]}:{x[0]}:{x[2]}" for x in want)
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert clean[1] == " ".join("[SECRET]" + (" [SECRET]" if i % 50 == 0 else "") for i in range(n))
+    assert clean[2].startswith("é [SECRET] [SECRET] [SECRET]") and "token" not in clean[2][:20_000]
+
+
 def test_redact_keeps_rows_and_columns(docs):
     out = secrets.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
