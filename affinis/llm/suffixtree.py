@@ -41,8 +41,8 @@ MIN_WORD, MIN_PAIR = 5e-7, 5e-7
 #: log2 of the bits of a bitmap, at most.
 BITMAP = 27
 END = int(np.uint64(0x454E445F4F465F5F).astype(np.int64))
-#: Distinct keys that a task sums up before it sends them; requests that it gathers; bytes of text per bucket.
-HELD, SENT, BUCKET = 1 << 20, 1 << 19, 1 << 25
+#: Distinct keys that a task sums up before it sends them; requests and documents that make a part; bytes of text per bucket.
+HELD, SENT, ROWS, BUCKET = 1 << 20, 1 << 19, 1 << 16, 1 << 25
 _NEXT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -338,11 +338,11 @@ def _shelved(buckets: int):
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums per part and row for the requests; rows come by bucket, the table's first. Documents' rows pass."""
+    """Sums per row for each block of requests; blocks come by bucket, the table's first. Documents' rows pass."""
     bucket, shelf, keys, value = None, [], np.zeros(0, np.int64), np.zeros((0, 2))
     for b in batches:
         kind = b.column(1).to_numpy()
-        out: list[tuple[np.ndarray, ...]] = []
+        part, rows, sums = [], [], []
         for i in np.flatnonzero(kind < 2).tolist():
             at, k, more = b.column(0)[i].as_py(), np.frombuffer(b.column(8)[i].as_py(), np.int64), b.column(9)[i].as_py()
             if at != bucket:
@@ -359,15 +359,48 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             place = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
             hit = keys[place] == k
             row, local = np.unique(np.frombuffer(more, np.uint32)[hit], return_inverse=True)
-            base, gain = (np.bincount(local, value[place[hit], c], minlength=len(row)) for c in (0, 1))
             known = np.bincount(local, value[place[hit], 0] > 0, minlength=len(row))
-            out.append((np.full(len(row), b.column(2)[i].as_py()), row.astype(np.int64), known.astype(np.int64), base, gain))
-        if out:
-            part, row, known, base, gain = (np.concatenate(c) for c in zip(*out, strict=True))
-            yield _with_id(_packed(part=part, row=row, known=known, base=base, gain=gain), b.schema)
+            part.append(b.column(2)[i].as_py())
+            rows.append(row.tobytes())
+            sums.append(np.stack([known, *(np.bincount(local, value[place[hit], c], minlength=len(row)) for c in (0, 1))]).tobytes())
+        if part:
+            yield _with_id(_packed(kind=np.full(len(part), 3, np.int32), part=part, keys=rows, more=sums), b.schema)
         own = np.flatnonzero(kind == 2)
         if len(own):
             yield b.take(pa.array(own))
+    trim()
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents' rows with the answers to their requests added; rows come by part."""
+    held: list[pa.RecordBatch] = []
+
+    def totals(b: pa.RecordBatch) -> pa.RecordBatch:
+        own = b.filter(pa.array(b.column(1).to_numpy() == 2))
+        row = own.column(3).to_numpy()
+        sums = np.zeros((3, int(row.max(initial=-1)) + 1))
+        answers = b.filter(pa.array(b.column(1).to_numpy() == 3))
+        for keys, more in zip(answers.column(8).to_pylist(), answers.column(9).to_pylist(), strict=True):
+            at = np.frombuffer(keys, np.uint32)
+            sums[:, at] += np.frombuffer(more, np.float64).reshape(3, len(at))
+        cols = dict(zip(own.schema.names, own.columns, strict=True))
+        cols["known"] = pa.array(own.column(5).to_numpy() + sums[0, row].astype(np.int64))
+        cols["base"], cols["gain"] = (pa.array(own.column(c).to_numpy() + sums[c - 5, row]) for c in (6, 7))
+        names = ["id", "held_out", "n_tokens", "known", "base", "gain"]
+        return pa.RecordBatch.from_arrays([cols[c] for c in names], ["id", "held_out", "n_tokens", "n_known", "base", "gain"])
+
+    for b in batches:
+        part = b.column(2).to_numpy()
+        edge = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+        for x, y in zip(edge[:-1], edge[1:], strict=True):
+            if x == y:
+                continue
+            if held and held[-1].column(2)[0].as_py() != part[x]:
+                yield totals(pa.concat_batches(held))
+                held = []
+            held.append(b.slice(x, y - x))
+    if held:
+        yield totals(pa.concat_batches(held))
 
 
 def _with_id(b: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
@@ -381,7 +414,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("id"), (F.lit(False) if held_out is None else held_out).alias("held_out"), F.col(text_col).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(2, -(-size // BUCKET))
+    buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
     held = spark.sparkContext.broadcast(tree.local())
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,7 +440,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([*own_rows.columns, b.column(0), b.column(1)], [*own_rows.schema.names, "id", "held_out"])
             asked.append((row + rows, keys))
             rows += n
-            if sum(len(k) for _, k in asked) >= SENT:
+            if rows >= ROWS or sum(len(k) for _, k in asked) >= SENT:
                 yield _with_id(flush(), schema)
                 part, rows, asked = part + 1, 0, []
         if asked:
@@ -419,10 +452,8 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
     shelf = tree.model.mapInArrow(_shelved(buckets), names)
     rows = slim.mapInArrow(ask, whole).unionByName(shelf, allowMissingColumns=True)
     dealt = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind").mapInArrow(_answered, whole)
-    sums = dealt.groupBy("part", "row").agg(
-        F.first("id", True).alias("id"), F.first("held_out", True).alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        F.sum("known").alias("n_known"), F.sum("base").alias("base"), F.sum("gain").alias("gain"),
-    )
+    kind = docs.schema[id_col].dataType.simpleString()
+    sums = dealt.repartition("part").sortWithinPartitions("part").mapInArrow(_added, f"id {kind}, held_out boolean, n_tokens long, n_known long, base double, gain double")
     base = F.col("base") - F.col("n_tokens") * F.lit(tree.log_total)
     return sums.select("id", "held_out", "n_tokens", "n_known", F.lit(tree.total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
 
