@@ -1,13 +1,14 @@
 """Harmonic packing of tokenised documents into training sequences.
 
-Lengths fall into reciprocal-capacity classes, capacity / j, and a bin of class j takes exactly j pieces, so a class is
-filled by counting alone and every worker packs its own documents: no shuffle, no shared state. Documents may be cut,
-so each is cut into full sequences and then into pieces whose lengths are the powers of two in its rest; class j is
-then exactly capacity / j long and full bins have no padding at all. What a worker has left of a class at its end
-(fewer than j pieces) goes into sequences whose lengths are powers of two, which need no padding either.
+Lengths fall into reciprocal-capacity classes: class j holds lengths from capacity / (j + 1), exclusive, to capacity / j,
+and a bin of class j takes exactly j of them, so a class is filled by counting alone and every worker packs its own
+documents: no shuffle, no shared state. A document gives full sequences and one tail, whose length has a class. Documents
+may be cut, so the room that j tails leave in their bin is filled with the start of the worker's next documents: bins
+are full, and a document is cut at most once more than its length asks for. What a worker has left at its end (fewer than
+j tails of each class) is packed end to end, and its last sequence is cut at powers of two, which need no padding either.
 
-A document has at most tokens / capacity + log2(capacity) pieces. Sequence ids hold the task's number, so they are
-unique without coordination; a task that runs again packs the same rows the same way.
+A worker holds at most capacity tokens per class. Sequence ids hold the task's number, so they are unique without
+coordination; a task that runs again packs the same rows the same way.
 
 Nulls and edge cases: a null text is empty; an empty text is the end token alone; repeated rows are packed again each;
 a null id stays null; an empty table gives an empty result; other input columns are ignored.
@@ -83,11 +84,13 @@ def tokenizer(*files: str) -> ByteBpe:
 
 
 class Packer:
-    """Bins of one worker."""
+    """Bins of one worker. A piece is (document, start, length, ids, tokens of the document)."""
 
     def __init__(self, capacity: int, name: int):
         self.capacity, self.next = capacity, name << 40
         self.open: dict[int, list[tuple]] = {}
+        self.waiting: list[tuple] = []  # j tails of class j
+        self.room = 0  # what they leave
 
     def _bin(self, pieces: list[tuple]) -> Iterator[tuple]:
         at = 0
@@ -96,35 +99,49 @@ class Packer:
             at += p[2]
         self.next += 1
 
-    def add(self, piece: tuple) -> Iterator[tuple]:
-        """piece: (document, start, length, ...), its length a power of two up to capacity."""
-        of = self.open.setdefault(piece[2], [])
-        of.append(piece)
-        if len(of) == self.capacity // piece[2]:
-            self.open[piece[2]] = []
-            yield from self._bin(of)
+    def _piece(self, doc, ids: bytes, at: int, size: int) -> tuple:
+        return (doc, at, size, ids[4 * at : 4 * (at + size)], len(ids) // 4)
+
+    def add(self, doc, ids: bytes) -> Iterator[tuple]:
+        n, at = len(ids) // 4, 0
+        if self.room:
+            at = min(self.room, n)
+            self.waiting.append(self._piece(doc, ids, 0, at))
+            self.room -= at
+            if not self.room:
+                yield from self._bin(self.waiting)
+                self.waiting = []
+        while n - at >= self.capacity:
+            yield from self._bin([self._piece(doc, ids, at, self.capacity)])
+            at += self.capacity
+        if at < n:
+            j = self.capacity // (n - at)
+            tails = self.open.setdefault(j, [])
+            tails.append(self._piece(doc, ids, at, n - at))
+            if len(tails) == j:
+                del self.open[j]
+                self.room = self.capacity - sum(p[2] for p in tails)
+                if self.room:
+                    self.waiting = tails
+                else:
+                    yield from self._bin(tails)
 
     def close(self) -> Iterator[tuple]:
-        for of in self.open.values():
+        """What is left, end to end, in full sequences and then powers of two."""
+        rest = [*self.waiting, *(p for j in sorted(self.open) for p in self.open[j])]
+        self.open, self.waiting, self.room = {}, [], 0
+        left, now, room = sum(p[2] for p in rest), [], 0
+        for doc, start, size, ids, n in rest:
             at = 0
-            while at < len(of):
-                n = 1 << ((len(of) - at).bit_length() - 1)
-                yield from self._bin(of[at : at + n])
-                at += n
-        self.open = {}
-
-
-def cuts(n: int, capacity: int) -> list[tuple[int, int]]:
-    """(start, length) of a document's pieces: full sequences, then the powers of two of the rest, largest first."""
-    out, at = [], 0
-    while n - at >= capacity:
-        out.append((at, capacity))
-        at += capacity
-    while at < n:
-        size = 1 << ((n - at).bit_length() - 1)
-        out.append((at, size))
-        at += size
-    return out
+            while at < size:
+                if not room:
+                    room = min(self.capacity, 1 << (left.bit_length() - 1))
+                take = min(room, size - at)
+                now.append((doc, start + at, take, ids[4 * at : 4 * (at + take)], n))
+                at, room, left = at + take, room - take, left - take
+                if not room:
+                    yield from self._bin(now)
+                    now = []
 
 
 PIECES = pa.schema([("doc", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
@@ -152,10 +169,7 @@ def _worker(files: tuple[str, ...], capacity: int, end: int) -> Callable[[Iterat
         def rows() -> Iterator[tuple]:
             for b in sliced(batches):
                 for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    ids = encode(text or "") + tail
-                    n = len(ids) // 4
-                    for at, size in cuts(n, capacity):
-                        yield from packer.add((doc, at, size, ids[4 * at : 4 * (at + size)], n))
+                    yield from packer.add(doc, encode(text or "") + tail)
             yield from packer.close()
             tokenizer(*files).known.clear()
             trim()

@@ -162,6 +162,33 @@ def test_pieces_query(spark):
     assert pieces.decode(pieces.encode(df.limit(0))).count() == 0
 
 
+def test_classes_and_cuts():
+    """Bins hold j tails of class j and the start of a later document; nothing is padded, few documents are cut."""
+    rng = random.Random(12)
+    packer, sizes = packing.Packer(1024, 3), [rng.choice([rng.randrange(1, 40), rng.randrange(40, 1500), 1024, 512, 341]) for _ in range(3000)]
+    rows, made = [], 0
+    for i, n in enumerate(sizes):
+        rows += packer.add(i, np.arange(n, dtype="<u4").tobytes())
+        made = len(rows)
+    rows += packer.close()
+    bins, docs = defaultdict(list), defaultdict(list)
+    for doc, start, size, ids, n, seq, at in rows:
+        assert n == sizes[doc] and ids == np.arange(start, start + size, dtype="<u4").tobytes()
+        bins[seq].append((at, size, doc, start))
+        docs[doc].append((start, size))
+    assert {d: sum(n for _, n in x) for d, x in docs.items()} == dict(enumerate(sizes))
+    late = {r[5] for r in rows[made:]}
+    for seq, x in bins.items():
+        assert [a for a, *_ in x] == [sum(n for _, n, *_ in x[:k]) for k in range(len(x))]
+        total = sum(n for _, n, *_ in x)
+        assert total & (total - 1) == 0 and total <= 1024
+        if seq not in late:
+            tails = [n for _, n, d, s in x if s + n == sizes[d]]
+            j = 1024 // tails[0] if tails else 0
+            assert total == 1024 and (len(x) == 1 or [1024 // n for n in tails[:j]] == [j] * j)
+    assert sum(len(x) for x in docs.values()) < sum(n // 1024 + 2 for n in sizes) + 1024
+
+
 def test_packing(spark):
     import public_tokenizers as public
     from tokenizers import Tokenizer
