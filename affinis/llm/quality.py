@@ -1,8 +1,9 @@
 """Quality rules: word and line statistics of each text, and cross-document line frequency.
 
 DataFrame functions only. Lines are normalised (A-Z lower-cased, runs of separators made one space, trimmed) and
-hashed; for each host the documents that hold a line are counted. Lines above the limit are boilerplate; a document
-that loses more than half of its words with them is depleted and goes.
+hashed; for each host the documents that hold a line are counted. Lines above the limit are boilerplate and are removed; a
+document that loses more than half of its words with them is depleted and goes. judge() gives the verdicts, cleaned()
+the documents that stay, without those lines.
 
 Nulls and edge cases: a null text has no words and fails the base rules; a null host is a host of its own; repeated
 rows are documents of their own; an empty table gives an empty result; other input columns are ignored.
@@ -47,23 +48,36 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) < 3, none).otherwise(let(hashes(words), counted))
 
 
+def _host(host_col: str) -> Column:
+    return F.coalesce(F.col(host_col).cast("string"), F.lit("\x00"))
+
+
+def _text_key(text: Column) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("second"), text).alias("h2")]
+
+
+def _normal(line: Column) -> Column:
+    return F.trim(F.regexp_replace(ascii_lower(line), SPACE, " "))
+
+
 def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """Per row the base statistics, and lines: the distinct normalised lines as (hash, words in all its copies)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    row = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("\x00")).alias("host"), text.alias("t"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"))
+    row = df.select(F.col(id_col).alias("id"), _host(host_col).alias("host"), text.alias("t"), *_text_key(text), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("w"))
 
     def lined(lines: Column) -> Column:
-        plain = F.transform(lines, lambda x: F.trim(F.regexp_replace(ascii_lower(x), SPACE, " ")))
+        plain = F.transform(lines, _normal)
         pairs = F.transform(plain, lambda x: F.struct(F.xxhash64(x).alias("h"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n")))
         return F.struct((F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"), pairs.alias("pairs"))
 
     stats = let(F.col("w"), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
     lines = let(F.filter(F.split("t", "\n", -1), lambda x: x.rlike(WORD)), lined)
     return row.select(
-        "id", "host", stats.alias("s"), lines.alias("l"),
+        "id", "host", "h1", "h2", stats.alias("s"), lines.alias("l"),
         F.length(F.regexp_replace("t", SPACE, "")).cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-    ).select("id", "host", "s.n_words", "word_chars", "n_symbols", "l.n_dup_lines", "s.n_repeat_words", F.col("l.pairs").alias("lines"))
+    ).select("id", "host", "h1", "h2", "s.n_words", "word_chars", "n_symbols", "l.n_dup_lines", "s.n_repeat_words", F.col("l.pairs").alias("lines"))
 
 
 def boilerplate(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
@@ -71,16 +85,40 @@ def boilerplate(lines: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
     return lines.groupBy("host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > max_docs).select("host", "h")
 
 
-def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
-    """One row per input row: the statistics, base_failed, n_left (words outside boilerplate lines) and kept."""
-    rows = stored(measured(df, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()))
+def _verdicts(rows: DataFrame, max_docs: int, min_left: float) -> DataFrame:
+    """rows (measured, with a number row, stored) with failed, n_left, kept and lost (hashes of the lines that go, if any)."""
     each = rows.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.h", "x.n")
     once = rows.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
-    frequent = stored(boilerplate(once, max_docs))  # cut, so that a hot line's rows can be split
-    lost = each.join(frequent, ["host", "h"]).groupBy("row").agg(F.sum("n").cast("long").alias("lost"))
+    frequent = stored(boilerplate(once, max_docs))  # stored, so that a hot line's rows can be split
+    lost = each.join(frequent, ["host", "h"]).groupBy("row").agg(F.sum("n").cast("long").alias("n_lost"), F.collect_set("h").alias("lost"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    left = F.col("n_words") - F.coalesce("lost", F.lit(0))
-    return rows.join(lost, "row", "left").select(
-        "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        (~failed & (left >= min_left * F.col("n_words"))).alias("kept"), left.alias("n_left"),
-    )
+    out = rows.join(lost, "row", "left").withColumns({"failed": failed, "n_left": F.col("n_words") - F.coalesce("n_lost", F.lit(0))})
+    return out.withColumn("kept", ~F.col("failed") & (F.col("n_left") >= min_left * F.col("n_words")))
+
+
+def _rows(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    return stored(measured(df, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id()))
+
+
+def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+    """One row per input row: the statistics, base_failed, n_left (words outside boilerplate lines) and kept."""
+    out = _verdicts(_rows(df, id_col, text_col, host_col), max_docs, min_left)
+    return out.select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.col("failed").alias("base_failed"), "kept", "n_left")
+
+
+def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+    """The rows of df that judge() keeps, their texts without boilerplate lines; columns as they were.
+
+    A verdict depends on the host and the text alone, so these join it to the rows.
+    """
+    judged = _verdicts(_rows(df, id_col, text_col, host_col), max_docs, min_left).where("kept")
+    judged = stored(judged.groupBy(F.col("host").alias("_host"), F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(F.first("lost").alias("_lost")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    h1, h2 = _text_key(text)
+    rows = df.withColumns({"_host": _host(host_col), "_h1": h1, "_h2": h2}).join(judged, ["_host", "_h1", "_h2"])
+    stays = lambda line: ~line.rlike(WORD) | ~F.array_contains(F.col("_lost"), F.xxhash64(_normal(line)))
+    fresh = F.when(F.col("_lost").isNull(), F.col(text_col)).otherwise(F.array_join(F.filter(F.split(text, "\n", -1), stays), "\n"))
+    out = rows.withColumn(text_col, fresh)
+    if "n_chars" in df.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_lost").isNotNull(), F.length(text_col).cast(df.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])

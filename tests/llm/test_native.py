@@ -107,6 +107,61 @@ def test_quality_rules(docs):
     assert Counter(tuple(r)[:8] for r in got) == Counter(want)
 
 
+def test_boilerplate_lines_are_removed(docs):
+    verdicts = {(r.id, r.kept) for r in quality.judge(docs).collect()}
+    out = quality.cleaned(docs)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.collect()}
+    assert set(got) == {i for i, kept in verdicts if kept} and 200 not in got
+    assert all(got[100 + i].text == t.rsplit("\n", 1)[0] for i, t in enumerate(LONG))
+
+
+def test_verdicts_of_a_link_graph_by_brute_force(spark):
+    """Random links over 40 hosts, cycles included, at the shipped settings."""
+    import random
+
+    rng = random.Random(11)
+    hosts = [f"h{i}.net" for i in range(36)] + ["good.org", "fine.org", "bad.com", "worse.com"]
+    pages = []
+    for k in range(160):
+        host = rng.choice(hosts)
+        path = rng.choice(["/fr/1", "/de/2", "/x"]) if host.endswith(".com") else "/x"
+        pages.append((k, f"http://{host}{path}", "".join(f'<a href="http://{rng.choice(hosts)}/y">' for _ in range(rng.randrange(4)))))
+    got = {r.id: r for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    linked, good, bad = defaultdict(set), Counter(), Counter()
+    for k, url, html in pages:
+        host, path = url[7:].split("/", 1)
+        linked[host] |= set(re.findall("http://([^/]+)/", html)) - {host}
+        good[host] += host.endswith(".org") or path == "fr/1"
+        bad[host] += host.endswith(".com") and path == "de/2"
+    back = defaultdict(set)
+    for s, ds in linked.items():
+        for d in ds:
+            back[d].add(s)
+
+    def ranks(seed, graph):
+        n = sum(seed.values())
+        seed = {h: c / n for h, c in seed.items() if c}
+        rank = dict(seed)
+        for _ in range(600):
+            flow = defaultdict(float)
+            for s, ds in graph.items():
+                for d in ds:
+                    flow[d] += rank.get(s, 0.0) / len(ds)
+            rank = {h: seed.get(h, 0.0) * (1 - 0.85 * sum(flow.values())) + 0.85 * flow[h] for h in hosts}
+        return rank
+
+    trust, distrust = ranks(good, linked), ranks(bad, back)
+    seen = Counter()
+    for k, url, _ in pages:
+        host, path = url[7:].split("/", 1)
+        ruled = "allow" if host.endswith(".org") or path == "fr/1" and host.endswith(".com") else "block" if host.endswith(".com") and path == "de/2" else None
+        assert abs(got[k].trust - trust[host]) < 1e-6 and abs(got[k].distrust - distrust[host]) < 1e-6
+        assert got[k].verdict == (ruled or ("block" if distrust[host] > trust[host] else "allow"))
+        seen[got[k].verdict, ruled] += 1
+    assert seen["block", None] > 10 and seen["allow", None] > 10
+
+
 def test_url_rules_and_propagation(spark):
     link = lambda *h: "".join(f'<a href="https://{x}/p">x</a>' for x in h)
     pages = [
@@ -135,10 +190,10 @@ def test_pagerank_against_power_iteration(spark):
 
 
 def test_distrust_reaches_the_end_of_a_long_chain(spark):
-    pages = [(0, "http://example.org/es/x", "")] + [(k, f"http://h{k}.net/", f'<a href="http://{f"h{k - 1}.net" if k > 1 else "example.org"}/">') for k in range(1, 17)]
+    pages = [(0, "http://example.org/es/x", "")] + [(k, f"http://h{k}.net/", f'<a href="http://{f"h{k - 1}.net" if k > 1 else "example.org"}/">') for k in range(1, 31)]
     got = {r.id: r for r in urls.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
-    assert all(got[k].verdict == "block" and got[k].distrust > 0 and got[k].trust == 0 for k in range(1, 17))
-    assert all(abs(got[k].distrust / got[k - 1].distrust - 0.85) < 1e-4 for k in range(1, 17))
+    assert all(got[k].verdict == "block" and got[k].distrust > 0 and got[k].trust == 0 for k in range(1, 31))
+    assert all(abs(got[k].distrust / got[k - 1].distrust - 0.85) < 1e-4 for k in range(1, 31))
 
 
 def test_empty_tables(spark):
