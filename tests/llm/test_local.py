@@ -88,6 +88,48 @@ def test_ordinal_fit_orders_grades():
     assert np.corrcoef(model.weights[:40], true)[0, 1] > 0.85 and len(model.thresholds) == 2
 
 
+def test_ordinal_fit_is_the_likeliest():
+    """Three grades: the likelihood in plain Python, whose slopes vanish where the fit ends."""
+    rng = np.random.default_rng(9)
+    n, width = 400, 6
+    x = [sorted(set(rng.integers(0, width, 3).tolist())) for _ in range(n)]
+    true = [-2.0, -1.0, 0.0, 1.0, 2.0, 3.0]
+    grades = np.digitize([sum(true[j] for j in row) + rng.logistic() for row in x], [-1.0, 2.5])
+    rows = np.repeat(np.arange(n), [len(r) for r in x])
+    model = toxicity.fit(rows, np.concatenate(x), grades, bits=4, epochs=400, common=1.0)
+
+    def loss(w, edges):
+        out = 0.0
+        for row, g in zip(x, grades.tolist()):
+            eta = sum(w[j] for j in row)
+            below = [0.0, *(1 / (1 + math.exp(eta - e)) for e in edges), 1.0]
+            out -= math.log(below[g + 1] - below[g])
+        return out / n
+
+    w, edges = model.weights.tolist(), model.thresholds.tolist()
+    below = model.below(np.array([0.3]))[0].tolist()
+    assert below == pytest.approx([1 / (1 + math.exp(0.3 - e)) for e in edges]) and len(edges) == 2 and edges[0] < edges[1]
+    for part, k in [(w, j) for j in range(width) if w[j]] + [(edges, 0), (edges, 1)]:
+        at, h = part[k], 1e-4
+        part[k] = at + h
+        up = loss(w, edges)
+        part[k] = at - h
+        down = loss(w, edges)
+        part[k] = at
+        assert abs(up - down) / (2 * h) < 2e-3
+    assert sum(v != 0 for v in w[:width]) >= 4 and not any(w[width:])
+
+
+def test_three_grades_and_repeated_ids(spark):
+    words = ["fine", "rude", "vile"]
+    docs = spark.createDataFrame([(i, f"{words[i % 3]} words{i % 7} here{i % 5}") for i in range(300)] + [(0, "zzz"), (1, "zzz")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 3) for i in range(300)], "doc_id long, grade int")
+    fits = [toxicity.train(d, labels, "doc_id", "text", F.col("grade")) for d in (docs, docs.repartition(5))]
+    assert len(fits[0].thresholds) == 2 and np.allclose(fits[0].weights, fits[1].weights, atol=1e-6)
+    got = {r.id: r for r in toxicity.score(docs.limit(300), fits[0]).collect()}
+    assert all(got[i].grade == i % 3 for i in range(300)) and got[0].severity < got[1].severity < got[2].severity
+
+
 def brute_best(v, text):
     best = [0.0] + [-math.inf] * len(text)
     for j in range(1, len(text) + 1):
