@@ -20,11 +20,11 @@ def assembled(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="x").transform(filled)
 
 
-def fit_trees(df: DataFrame, features: list[str], label: str = "label", stop: str | None = None, rounds: int = 20, depth: int = 4) -> GBTClassificationModel:
+def fit_trees(df: DataFrame, features: list[str], label: str = "label", stop: str | None = None, rounds: int = 20, depth: int = 4, seed: int = 7, sample: float = 1.0) -> GBTClassificationModel:
     """stop: a boolean column that marks the rows whose loss ends training early."""
     data = assembled(df, features).withColumn(label, F.col(label).cast("double"))
     extra = {"validationIndicatorCol": stop} if stop else {}
-    return GBTClassifier(featuresCol="x", labelCol=label, maxIter=rounds, maxDepth=depth, seed=7, **extra).fit(data)
+    return GBTClassifier(featuresCol="x", labelCol=label, maxIter=rounds, maxDepth=depth, seed=seed, subsamplingRate=sample, **extra).fit(data)
 
 
 def probability(model: GBTClassificationModel, df: DataFrame, features: list[str], out: str = "p") -> DataFrame:
@@ -45,6 +45,21 @@ def cross_fitted(df: DataFrame, fold: str, folds: int, fit: Callable[[DataFrame]
     return out
 
 
+def bagged(df: DataFrame, features: list[str], seeds: tuple[int, ...], out: str = "p", **params) -> DataFrame:
+    """df with the mean probability of models fitted with different seeds, each on a sample of the rows."""
+    scored, names = df, []
+    for seed in seeds:
+        names.append(f"_p{seed}")
+        scored = probability(fit_trees(df, features, seed=seed, sample=0.8, **params), scored, features, names[-1])
+    return scored.withColumn(out, sum((F.col(n) for n in names), F.lit(0.0)) / len(names)).drop(*names)
+
+
+def refitted(df: DataFrame, features: list[str], fold: str, folds: int, stop: str, rounds: int) -> GBTClassificationModel:
+    """Fitted on all rows, with as many trees as early stopping keeps on average when a fold is left out."""
+    kept = [fit_trees(df.where(F.col(fold) != k), features, stop=stop, rounds=rounds).getNumTrees for k in range(folds)]
+    return fit_trees(df, features, rounds=max(1, round(sum(kept) / folds)))
+
+
 def fit_combiner(df: DataFrame, p: str = "p", s: str = "s", label: str = "label") -> tuple[float, tuple[float, float, float]]:
     """(intercept, weights) of the logistic model on logit p, s and their product."""
     z = logit(F.col(p))

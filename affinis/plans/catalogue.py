@@ -798,3 +798,6 @@ def _(spark, d):
     kind = F.when(F.col("p").between(0.3, 0.7), 0).when(F.col("label") == 1, 1).otherwise(2)
     key = F.md5(F.concat(F.lit("t"), F.col("s1_row").cast("string"), F.lit("-"), F.col("pool_row").cast("string")))
     return scored(spark, d).select("s1_row", "pool_row", kind.alias("kind")).orderBy("kind", key, "s1_row", "pool_row").limit(3000)  # a bounded training sample
+
+
+from . import reports  # noqa: E402, F401  # registers its queries
