@@ -31,11 +31,11 @@ from .textops import gram_hash, mixed, prefix_hash, raw, sliced
 
 WIDTH, GRAM = 200, 32
 #: Different contexts of one anchor that one task sorts; beyond it their strings are counted by hash.
-HOT = 256
+HOT = 1024
 #: Neighbouring strings of hot buckets that are counted at once.
 STRIDE = 16
 #: Bytes of contexts in one suffix array.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def suffix_order(text: np.ndarray, active: np.ndarray, depth: int) -> np.ndarray:

@@ -436,7 +436,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
             known, sums, (row, keys) = _requests(own, tokens, starts, depth)
             n = b.num_rows
             place = np.arange(rows, rows + n)
-            own_rows = _packed(bucket=np.full(n, part % buckets), kind=np.full(n, 2, np.int32), part=np.full(n, part), row=place, n_tokens=np.diff(starts), known=known, base=sums[0], gain=sums[1])
+            own_rows = _packed(bucket=(place + part) % buckets, kind=np.full(n, 2, np.int32), part=np.full(n, part), row=place, n_tokens=np.diff(starts), known=known, base=sums[0], gain=sums[1])
             yield pa.RecordBatch.from_arrays([*own_rows.columns, b.column(0), b.column(1)], [*own_rows.schema.names, "id", "held_out"])
             asked.append((row + rows, keys))
             rows += n
