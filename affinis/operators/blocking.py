@@ -27,24 +27,29 @@ def tokens(records: DataFrame, view: str) -> DataFrame:
     return records.select("id", "country", "src", F.explode(F.array_distinct(views[view])).alias("tok")).where("tok <> ''")
 
 
-def weights(toks: DataFrame, cap: float) -> tuple[DataFrame, DataFrame]:
-    """(postings of the pool, tokens of the queries), each (id, country, tok, q, norm2).
-
-    A query's norm counts all words of the vocabulary; those in more than cap of the pool are dropped only then.
-    """
-    pool, asked = toks.where("src <> 'S1'"), toks.where("src = 'S1'")
+def vocabulary(pool: DataFrame) -> DataFrame:
+    """(country, tok, df, n, q) of the pool's tokens: documents with it, documents, weight."""
     size = pool.select("country", "id").distinct().groupBy("country").agg(F.count("*").alias("n"))
     vocab = pool.groupBy("country", "tok").agg(F.count("*").alias("df")).join(size, "country")
-    vocab = vocab.select("country", "tok", "df", "n", F.round((F.ln(F.col("n").cast("double")) - F.ln(F.col("df").cast("double"))) * 10000).cast("long").alias("q"))
+    return vocab.select("country", "tok", "df", "n", F.round((F.ln(F.col("n").cast("double")) - F.ln(F.col("df").cast("double"))) * 10000).cast("long").alias("q"))
+
+
+def weighted(toks: DataFrame, vocab: DataFrame, cap: float) -> DataFrame:
+    """(id, country, tok, q, norm2); the norm counts all words of the vocabulary, those in more than cap of the pool are dropped only then."""
     norm = F.sum(F.col("q") * F.col("q")).over(Window.partitionBy("id")).alias("norm2")
     keep = F.col("df") <= cap * F.col("n")
-    weighted = lambda x: x.join(vocab, ["country", "tok"]).select("id", "country", "tok", "q", keep.alias("use"), norm).where("use").drop("use")
-    return weighted(pool), weighted(asked)
+    return toks.join(vocab, ["country", "tok"]).select("id", "country", "tok", "q", keep.alias("use"), norm).where("use").drop("use")
 
 
-def top_k(records: DataFrame, view: str, k: int, cap: float = 0.05) -> DataFrame:
-    """(s1_row, pool_row, country, score, rank): each query's k most similar pool records of its country, ties to the smaller id."""
-    pool, asked = weights(tokens(records, view), cap)
+def weights(toks: DataFrame, cap: float) -> tuple[DataFrame, DataFrame]:
+    """(postings of the pool, tokens of the queries), each (id, country, tok, q, norm2)."""
+    pool, asked = toks.where("src <> 'S1'"), toks.where("src = 'S1'")
+    vocab = vocabulary(pool)
+    return weighted(pool, vocab, cap), weighted(asked, vocab, cap)
+
+
+def search(asked: DataFrame, pool: DataFrame, k: int) -> DataFrame:
+    """(s1_row, pool_row, country, score, rank): the k postings most similar to each query, ties to the smaller id."""
     a, b = asked.alias("a"), pool.alias("b")
     pairs = a.join(b, ["country", "tok"]).groupBy(F.col("a.id").alias("s1_row"), F.col("b.id").alias("pool_row"), "country").agg(F.sum(F.col("a.q") * F.col("b.q")).alias("dot"), F.first("a.norm2").alias("x"), F.first("b.norm2").alias("y"))
     score = F.col("dot") / (F.sqrt(F.nullif("x", F.lit(0)).cast("double")) * F.sqrt(F.nullif("y", F.lit(0)).cast("double")))
@@ -52,6 +57,12 @@ def top_k(records: DataFrame, view: str, k: int, cap: float = 0.05) -> DataFrame
     return pairs.withColumn("score", score).where("score is not null").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("s1_row", "pool_row", "country", "score", "rank")
 
 
+def top_k(records: DataFrame, view: str, k: int, cap: float = 0.05) -> DataFrame:
+    """(s1_row, pool_row, country, score, rank): each query's k most similar pool records of its country, ties to the smaller id."""
+    pool, asked = weights(tokens(records, view), cap)
+    return search(asked, pool, k)
+
+
 def merged(views: dict[str, DataFrame], cap: int) -> DataFrame:
     """(s1_row, pool_row, country, cand_pos, score_v, rank_v ...): the union of views, best ranks first, at most cap a query.
 
@@ -75,8 +86,11 @@ def reverse_competition(cands: DataFrame, view: str) -> DataFrame:
     return cands.withColumns({f"rc_rank_{view}": F.rank().over(w.orderBy(score.desc())), f"rc_gap_{view}": F.max(score).over(w) - score})
 
 
-def dense_top_k(queries: DataFrame, pool: DataFrame, k: int, parts: int = 8) -> DataFrame:
-    """(q_id, id, score) by cosine of (id, v) rows, in blocks of numpy products; rows meet by block, never pair by pair."""
+def dense_top_k(queries: DataFrame, pool: DataFrame, k: int, block: int = 8192, group: int = 8192) -> DataFrame:
+    """(q_id, id, score, rank) by cosine of (id, v) rows, in numpy products of a block of the pool and a group of the queries.
+
+    Both have a bounded size, whatever the tables; rows meet by block and group, never pair by pair.
+    """
     import numpy as np
     import pandas as pd
 
@@ -85,17 +99,24 @@ def dense_top_k(queries: DataFrame, pool: DataFrame, k: int, parts: int = 8) ->
             return pd.DataFrame({"q_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         unit = lambda m: m / np.maximum(np.sqrt((m * m).sum(1, keepdims=True)), 1e-300)
         c = c.sort_values("pool_id")
-        s = unit(np.stack(q["v"].to_numpy()).astype(float)) @ unit(np.stack(c["pool_v"].to_numpy()).astype(float)).T
-        ids = c["pool_id"].to_numpy()
-        s[q["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-        best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        score = np.take_along_axis(s, best, 1)
-        out = pd.DataFrame({"q_id": np.repeat(q["id"].to_numpy(), best.shape[1]), "id": ids[best].ravel(), "score": score.ravel()})
-        return out[np.isfinite(out["score"])]
-
-    spread = queries.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("b"))
-    blocks = pool.select(F.col("id").alias("pool_id"), F.col("v").alias("pool_v"), F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("b"))
-    near = spread.groupBy("b").cogroup(blocks.groupBy("b")).applyInPandas(search, "q_id long, id long, score double")
+        ids, side = c["pool_id"].to_numpy(), unit(np.stack(c["pool_v"].to_numpy()).astype(float)).T
+        out = []
+        for at in range(0, len(q), 512):
+            some = q.iloc[at : at + 512]
+            s = unit(np.stack(some["v"].to_numpy()).astype(float)) @ side
+            s[some["id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
+            best = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            score = np.take_along_axis(s, best, 1).ravel()
+            found = pd.DataFrame({"q_id": np.repeat(some["id"].to_numpy(), best.shape[1]), "id": ids[best].ravel(), "score": score})
+            out.append(found[np.isfinite(score)])
+        return pd.concat(out)
+
+    blocks, groups = (max(1, -(-df.count() // size)) for df, size in ((pool, block), (queries, group)))
+    place = lambda salt, count: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(count).cast("long")).cast("int")
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    asked = queries.select("id", "v", place("g", groups).alias("g"), each(blocks).alias("b"))
+    held = pool.select(F.col("id").alias("pool_id"), F.col("v").alias("pool_v"), place("b", blocks).alias("b"), each(groups).alias("g"))
+    near = asked.groupBy("b", "g").cogroup(held.groupBy("b", "g")).applyInPandas(search, "q_id long, id long, score double")
     rank = F.row_number().over(Window.partitionBy("q_id").orderBy(F.desc(F.round("score", 9)), "id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k)
 

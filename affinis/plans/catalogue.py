@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fuzzy, numeric, text
 from ..operators import blocking, decide, features, model, truthset
+from ..sources import tsv
 from .relations import page_records, records, scored, spine, table, truth
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +84,11 @@ def _(spark, d):
     return out
 
 
+@query("o004_glob_scan", "select n_nationkey, n_name from nation")
+def _(spark, d):
+    return tsv.read_parts(spark, f"{d}/nat*.parquet", ["n_nationkey", "n_name"])
+
+
 @query("o002_explode_lists", f"with {PAIRS} select s1_row, cast(pool_row as varchar) as match from pairs where label = 1")
 def _(spark, d):
     lists = scored(spark, d).where("label = 1").groupBy("s1_row").agg(F.array_join(F.collect_list(F.col("pool_row").cast("string")), " , ").alias("ids"))

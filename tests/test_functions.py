@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from affinis.functions import fuzzy, text
@@ -79,7 +80,74 @@ def test_ratios_by_brute_force(spark):
 
 def test_tsv_round_trip(spark, tmp_path):
     (tmp_path / "in.tsv").write_text('entity_id\tcountry\tbusiness_name\tbusiness_address\n1\tUS\tA "quoted\tx\n2\tIN\t\ty\n')
+    (tmp_path / "in2.tsv").write_text("entity_id\tcountry\tbusiness_name\tbusiness_address\r\n3\tFR\tÉ\tz\r\n")
+    assert [tuple(r) for r in tsv.read(spark, str(tmp_path / "in*.tsv")).orderBy("entity_id").collect()][2] == ("3", "É", "z", "FR")
+    (tmp_path / "bad.tsv").write_text("entity_id\tcountry\n1\tUS\n2\n")
+    with pytest.raises(Exception, match="not 2 fields"):
+        tsv.read(spark, str(tmp_path / "bad.tsv")).collect()
     rows = tsv.read(spark, str(tmp_path / "in.tsv")).orderBy("entity_id").collect()
     assert rows[0].business_name == 'A "quoted' and rows[1].country == "IN"
     tsv.write_lists(spark.createDataFrame([(1, "5,6"), (2, "")], "id long, ids string"), str(tmp_path / "out"))
     assert "1\t5,6" in "".join(p.read_text() for p in (tmp_path / "out").glob("part*"))
+
+
+def test_sinks(spark, tmp_path):
+    tsv.write_report(spark, {"f05": 0.5, "n": 3}, f"{tmp_path}/report")
+    assert tsv.read_report(spark, f"{tmp_path}/report") == {"f05": 0.5, "n": 3}
+    tsv.write_table(spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double").coalesce(1), f"{tmp_path}/curve")
+    assert "".join(p.read_text() for p in (tmp_path / "curve").glob("part*")) == "k\tv\na\t1.5\nb\t\n"
+    tsv.write_records(spark.createDataFrame([(1, "A/B"), (2, "A B"), (3, None)], "id long, country string"), f"{tmp_path}/records")
+    assert sorted((r.id, r.country) for r in spark.read.parquet(f"{tmp_path}/records").collect()) == [(1, "A/B"), (2, "A B"), (3, None)]
+
+
+def test_second_stage_by_brute_force(spark):
+    from affinis.operators import reports
+
+    names = {10: ("red ring", "x street"), 11: ("red ring", ""), 12: ("old bolt", "x street"), 13: (None, None)}
+    rows = [(0, 10, 0.9), (0, 11, 0.8), (0, 12, 0.3), (1, 13, 0.4), (2, 12, 0.5), (2, 10, 0.5)]
+    pairs = spark.createDataFrame([(s, p, q, 0.0, 1, q) for s, p, q in rows], "s1_row long, pool_row long, p1 double, xenc double, inb int, pf double")
+    texts = spark.createDataFrame([(k, *v) for k, v in names.items()], "pool_row long, name string, addr string")
+    got = {(r.s1_row, r.pool_row): r for r in reports.second_stage(pairs, texts, 0.5).collect()}
+    assert len(got) == len(rows) and len(got[0, 10]) == 20
+    for s, p, q in rows:
+        order = sorted((-x, r) for t, r, x in rows if t == s)
+        ref = next((r for _, r in order if r != order[0][1]), None) if p == order[0][1] else order[0][1]
+        f, (name, addr) = got[s, p], (v or "" for v in names[p])
+        assert f.pf_rank == 1 + [r for _, r in order].index(p) and f.pf_n_t == sum(x >= 0.5 for t, _, x in rows if t == s)
+        assert f.n_same_name == sum((names[r][0] or "") == name for t, r, _ in rows if t == s)
+        assert f.n_same_addr == (sum((names[r][1] or "") == addr for t, r, _ in rows if t == s) if addr else None)
+        other = (names[ref][0] or "", names[ref][1] or "") if ref is not None else None
+        assert f.sib_n_ratio == (None if other is None else pytest.approx(plain_ratio(name, other[0])))
+        assert f.sib_n_tset == (None if other is None else pytest.approx(plain_token_set(name, other[0])))
+        assert f.sib_a_tset == (pytest.approx(plain_token_set(addr, other[1])) if other and addr and other[1] else None)
+        assert f.sib_same_addr == int(bool(other) and addr != "" and addr == other[1])
+
+
+def test_recall_grid_by_brute_force(spark):
+    from affinis.operators import reports
+
+    rng = random.Random(2)
+    views = {}
+    for v in ("a", "b"):
+        rows = []
+        for s in range(12):
+            picks = rng.sample(range(100, 130), 8)
+            rows += [(s, p, "x", 1.0 - k / 10, k + 1) for k, p in enumerate(picks)]
+        views[v] = rows
+    truth = [(s, p, "xy"[s % 2]) for s in range(12) for p in rng.sample(range(100, 130), 6)]
+    frames = {v: spark.createDataFrame(r, "s1_row long, pool_row long, country string, score double, rank int") for v, r in views.items()}
+    mixes, caps = [{"a": 8}, {"a": 3, "b": 5}], (2, 6)
+    got = {(r.mix, r.cap, r.land): (r.n_true, r.n_found) for r in reports.recall_grid(spark.createDataFrame(truth, "s1_row long, pool_row long, land string"), frames, mixes, caps, "land").collect()}
+    for n, mix in enumerate(mixes):
+        for cap in caps:
+            found = dict.fromkeys("xy", 0)
+            for s in range(12):
+                seen = {}
+                for v, k in mix.items():
+                    for t, p, _, score, rank in views[v]:
+                        if t == s and rank <= k:
+                            seen.setdefault(p, []).append((rank, score))
+                best = sorted(seen, key=lambda p: (min(r for r, _ in seen[p]), -len(seen[p]), -max(x for _, x in seen[p]), p))[:cap]
+                for t, p, land in truth:
+                    found[land] += t == s and p in best
+            assert all(got[n, cap, c] == (36, found[c]) for c in "xy")
