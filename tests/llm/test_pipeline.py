@@ -47,6 +47,28 @@ def test_decisions_take_effect(stages):
     assert pieces == {r.doc_id: len(encode(r.text or "")) // 4 + 1 for r in stages[4].collect()}
 
 
+def test_odd_rows_and_columns(spark):
+    """Repeated rows, nulls everywhere, a very long text and columns whose names the stages use themselves."""
+    clash = "id long, row int, h1 string, kept boolean, label string, v int, base string, severity double"
+    long = " ".join(f"long{i}" for i in range(60_000))
+    body = lambda k: " ".join(f"b{k}w{i}" for i in range(90))
+    rows = [(1, body(1)), (1, body(1)), (2, body(1)), (3, long), (4, ""), (5, None), (None, body(6)), (None, body(6)), (7, body(7) + " token=abcdef123 end"), (7, body(8))]
+    docs = spark.createDataFrame([(i, t, "en" if k % 2 else None, None if k % 3 else "src", None, 9, 8, "h", None, "l", 7, "b", 0.5) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long, " + clash)
+    kept = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        kept.append(stage(spark, kept[-1], SF).cache())
+    assert all(df.dtypes == docs.dtypes for df in kept[:-1])
+    counts = [Counter(r.doc_id for r in df.collect()) for df in kept[:-1]]
+    assert counts[0] == counts[1] and counts[2] == counts[3] == counts[4] == Counter({1: 1, 3: 1, 4: 1, 5: 1, 7: 1, None: 2})
+    texts = {r.doc_id: r for r in kept[4].collect()}
+    assert texts[3].text == long and texts[5].text is None and texts[4].text == "" and texts[3].severity == 0.5 and texts[3].kept is None
+    assert texts[None].text != body(6)  # its two rows repeat each other's passage
+    sums = Counter()
+    for r in kept[5].collect():
+        sums[r.doc_id] += r.length
+    assert set(sums) == {1, 3, 4, 5, 7, None} and sums[4] == sums[5] == 1
+
+
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
