@@ -3,6 +3,10 @@
 Each stage works on all that its predecessor kept; the first four return the columns of documents, the last the packed
 pieces. Documents that the toxicity model rejects go; of each group of near duplicates the smallest id stays; passages
 that repeat are cut out of the texts, which no longer count them; secrets are blotted out; what is left is packed.
+
+Nulls and edge cases: a null or empty text is kept and packed as its end token alone; rows without an id are never near
+duplicates of others; of rows that repeat an id one stays; other columns pass unchanged, whatever their names, but for
+n_chars, which follows the text; empty documents give empty stages.
 """
 
 from __future__ import annotations
