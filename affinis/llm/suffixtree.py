@@ -94,10 +94,11 @@ class Tree:
     base: np.ndarray
     gain: np.ndarray
     others: Bitmap
+    depth: int
     find: Lookup = field(init=False)
 
     def local(self) -> Tree:
-        return Tree(self.total, self.distinct, None, self.keys, self.base, self.gain, self.others)
+        return Tree(self.total, self.distinct, None, self.keys, self.base, self.gain, self.others, self.depth)
 
     def prepare(self) -> Tree:
         """Build the direct table, once per worker."""
@@ -273,16 +274,16 @@ def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: floa
     order = np.argsort(top.column("k").to_numpy())
     rest = model.where("not often")
     k, base, gain = (top.column(c).to_numpy()[order] for c in ("k", "base", "gain"))
-    return Tree(total, distinct, rest.select("k", "base", "gain"), k, base, gain, _bitmap(rest, rest.count(), bits))
+    return Tree(total, distinct, rest.select("k", "base", "gain"), k, base, gain, _bitmap(rest, rest.count(), bits), depth)
 
 
-def _requests(tree: Tree, tokens: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+def _requests(tree: Tree, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
     """(documents' known words and sums of base and gain as far as the broadcast part has them, ..., rows and keys to look up)."""
     n = len(starts) - 1
     row = np.repeat(np.arange(n), np.diff(starts))
     known, sums = np.zeros(n, np.int64), np.zeros((2, n))
     ask: list[tuple[np.ndarray, np.ndarray]] = []
-    for order, (at, keys) in enumerate(sequences(tokens, starts, depth + 1)):
+    for order, (at, keys) in enumerate(sequences(tokens, starts, tree.depth + 1)):
         place = tree.find(keys)
         have = place >= 0
         r, p = row[at[have]], place[have]
@@ -409,7 +410,7 @@ def _with_id(b: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, "id", "held_out"])
 
 
-def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, depth: int = DEPTH) -> DataFrame:
+def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("id"), (F.lit(False) if held_out is None else held_out).alias("held_out"), F.col(text_col).alias("text"))
@@ -433,7 +434,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
         for b in sliced(batches):
             schema = b.schema
             tokens, starts = _tokens(b.column(2))
-            known, sums, (row, keys) = _requests(own, tokens, starts, depth)
+            known, sums, (row, keys) = _requests(own, tokens, starts)
             n = b.num_rows
             place = np.arange(rows, rows + n)
             own_rows = _packed(bucket=(place + part) % buckets, kind=np.full(n, 2, np.int32), part=np.full(n, part), row=place, n_tokens=np.diff(starts), known=known, base=sums[0], gain=sums[1])

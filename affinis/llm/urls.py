@@ -64,11 +64,13 @@ def spread(links: DataFrame, seeds: DataFrame, rounds: int | None = None, enough
     moves by more than enough of itself (a host reached for the first time moves by all of it), or after rounds if given.
     Mass that reaches a host without links returns to the seeds.
     """
-    ranks = stored(seeds.select("host", "seed", F.col("seed").alias("rank")))
+    ranks = behind = stored(seeds.select("host", "seed", F.col("seed").alias("rank")))
     for _ in itertools.count() if rounds is None else range(rounds):
         flow = links.join(ranks, links.src == ranks.host).groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("got"))
         moved = ranks.join(flow, ranks.host == flow.dst, "full").select(F.coalesce("host", "dst").alias("host"), F.coalesce("seed", F.lit(0.0)).alias("seed"), F.coalesce("rank", F.lit(0.0)).alias("was"), F.coalesce("got", F.lit(0.0)).alias("got"))
         moved = stored(moved)
+        dropped(behind)
+        behind = moved
         total = moved.agg(F.sum("got")).first()[0] or 0.0
         fresh = moved.withColumn("rank", F.col("seed") * (1 - DAMPING * total) + DAMPING * F.col("got"))
         ranks = fresh.select("host", "seed", "rank")

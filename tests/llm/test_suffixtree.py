@@ -68,7 +68,7 @@ def test_scores_by_brute_force(spark, depth, limits):
     rows, df = frame(spark)
     out = st.crc_fold("doc_id") == 2
     tree = st.grow(df.where(~out), st.word_counts(df.where(~out)), depth, **limits)
-    got = st.score(df, tree, held_out=out, depth=depth).collect()
+    got = st.score(df, tree, held_out=out).collect()
     model = Plain([t for i, t, *_ in rows if not held(i)], depth)
     c, n, v = model.c, model.n, model.v
     want = Counter((i, held(i), len(words(t)), sum(c[w] > 0 for w in words(t)), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in words(t)), 6), round(model.score(t, depth), 6)) for i, t, *_ in rows)
