@@ -43,6 +43,8 @@ BITMAP = 27
 END = int(np.uint64(0x454E445F4F465F5F).astype(np.int64))
 #: Distinct keys that a task sums up before it sends them; requests and documents that make a part; bytes of text per bucket.
 HELD, SENT, ROWS, BUCKET = 1 << 20, 1 << 19, 1 << 16, 1 << 25
+#: With many buckets a part has so many requests for each, up to a limit, so that rows don't get small.
+EACH, MOST_SENT = 32, 1 << 22
 _NEXT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -416,6 +418,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
     slim = docs.select(F.col(id_col).alias("id"), (F.lit(False) if held_out is None else held_out).alias("held_out"), F.col(text_col).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
+    enough = max(SENT, min(MOST_SENT, EACH * buckets))
     held = spark.sparkContext.broadcast(tree.local())
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,7 +444,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([*own_rows.columns, b.column(0), b.column(1)], [*own_rows.schema.names, "id", "held_out"])
             asked.append((row + rows, keys))
             rows += n
-            if rows >= ROWS or sum(len(k) for _, k in asked) >= SENT:
+            if rows >= ROWS or sum(len(k) for _, k in asked) >= enough:
                 yield _with_id(flush(), schema)
                 part, rows, asked = part + 1, 0, []
         if asked:
