@@ -69,6 +69,8 @@ def plain_token_set(a, b):
 def test_ratios_by_brute_force(spark):
     rng = random.Random(16)
     rows = [("".join(rng.choices("abc ", k=rng.randrange(14))), "".join(rng.choices("abc ", k=rng.randrange(14)))) for _ in range(400)]
+    rows += [("".join(rng.choices("abcdé ", k=rng.randrange(60, 68))), "".join(rng.choices("abcdé ", k=rng.randrange(55, 90)))) for _ in range(20)]
+    rows += [("a" * 64, "a" * 63 + "b"), ("a" * 64, "ba" * 40), ("ab\0", "a\0b"), ("", "")]
     rows += [("new york mets", "mets york new"), ("a b", "a b c d"), ("", "x"), ("a", "b"), ("漢字 é", "é 漢"), (None, "a")]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string")
     got = df.withColumn("s", fuzzy.similarities({n: (n, F.col("a"), F.col("b")) for n in fuzzy.SCORERS})).orderBy("i").collect()
