@@ -1,19 +1,17 @@
-"""Helpers that the training-data operators share: reading tables, cutting lineage, binding values in expressions."""
+"""Helpers that the training-data operators share: reading tables, binding values in expressions."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import CLEANUP, dropped, shared_folder, stored  # noqa: F401  # the operators take them from here
+
 #: Word separators of every contract: space and the ASCII controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -21,48 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that driver and executors share: spark.checkpoint.dir of the session.
-
-    Where that is unset, a session on one machine (master local) gets a folder of its own; any other must set it.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        path = sc.getConf().get("spark.checkpoint.dir")
-        if not path and not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="checkpoint-"))
-    return sc.getCheckpointDir()
-
-
-@contextmanager
-def _shuffles_go(spark: SparkSession) -> Iterator[None]:
-    """Queries that start in this block delete their shuffle files when they end, not at the driver's next collection."""
-    was = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(CLEANUP, was)
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it from there: lineage ends, so lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    with _shuffles_go(spark):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(df: DataFrame) -> None:
-    """Delete the files of a stored table that nothing reads any more."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value) with value computed once per row, even where lambdas in body use it once per element."""
     return F.element_at(F.transform(F.array(value), body), 1)

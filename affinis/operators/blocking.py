@@ -1,8 +1,8 @@
-"""Candidate search: IDF-weighted token views, top-k by cosine as a postings join, views merged under a cap.
+"""Candidate search: IDF-weighted token views, top-k by cosine over blocks of postings, views merged under a cap.
 
 Scores are exact in any engine: weights are round(10000 * idf) as integers, so dot products are integer sums. Words in
-too large a share of a country's pool are left out of the query before the join, which bounds the postings a query meets;
-pairs are summed with partial aggregation and ranked with a group limit.
+too large a share of a country's pool are left out of the products (not of the norms), as the queries' SQL does. search()
+is the same as a plain join, for few queries at a time (the stream's).
 """
 
 from __future__ import annotations
@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import postings
 
-def tokens(records: DataFrame, view: str) -> DataFrame:
-    """(id, country, src, tok), distinct: the words or character grams of one view of the records."""
+
+def listed(records: DataFrame, view: str) -> DataFrame:
+    """(id, country, src, toks): the distinct words or character grams of one view of the records."""
     grams = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 2, F.lit(1))), lambda i: F.substr(s, i, F.lit(3)))
     letters = F.filter("addr", lambda t: t.rlike(r"\p{L}"))
     digits = F.transform(F.filter("addr", lambda t: t.rlike("^[0-9]+$")), lambda t: F.concat(F.lit("#"), t))
@@ -24,7 +26,12 @@ def tokens(records: DataFrame, view: str) -> DataFrame:
         "C_name": F.when(F.length(tight) > 0, grams(tight)).otherwise(F.array().cast("array<string>")),
     }
     views["C_all"] = F.concat(prefix("c:", views["C_name"]), prefix("a:", views["W_addr"]))
-    return records.select("id", "country", "src", F.explode(F.array_distinct(views[view])).alias("tok")).where("tok <> ''")
+    return records.select("id", "country", "src", F.filter(F.array_distinct(views[view]), lambda t: t != "").alias("toks"))
+
+
+def tokens(records: DataFrame, view: str) -> DataFrame:
+    """(id, country, src, tok): one row for each token of a record."""
+    return listed(records, view).select("id", "country", "src", F.explode("toks").alias("tok"))
 
 
 def vocabulary(pool: DataFrame) -> DataFrame:
@@ -59,8 +66,7 @@ def search(asked: DataFrame, pool: DataFrame, k: int) -> DataFrame:
 
 def top_k(records: DataFrame, view: str, k: int, cap: float = 0.05) -> DataFrame:
     """(s1_row, pool_row, country, score, rank): each query's k most similar pool records of its country, ties to the smaller id."""
-    pool, asked = weights(tokens(records, view), cap)
-    return search(asked, pool, k)
+    return postings.top_k(listed(records, view), k, cap)
 
 
 def merged(views: dict[str, DataFrame], cap: int) -> DataFrame:
