@@ -34,7 +34,7 @@ def test_large_weights_are_summed_as_longs():
     assert postings._sum(big, np.zeros(3, np.int64), 1, True)[0] == 2**53 + 2
 
 
-@pytest.mark.parametrize("name", ["o031_idf_topk", "o115_all_view_topk", "o064_capped_union"])
+@pytest.mark.parametrize("name", ["o031_idf_topk", "o115_all_view_topk", "o064_capped_union", "o119_reverse_competition"])
 def test_pairs_meet_in_no_exchange(spark, name):
     """A join of postings, one row for each word that two records share, filled the disk on 1 GB."""
     df = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
