@@ -131,3 +131,18 @@ def recall(truth: DataFrame, cands: DataFrame, *by: str) -> DataFrame:
     """Share of true pairs (s1_row, pool_row, ...) that are candidates."""
     hit = truth.join(cands.select("s1_row", "pool_row", F.lit(1).alias("hit")), ["s1_row", "pool_row"], "left")
     return hit.groupBy(*by).agg(F.count("*").alias("n_true"), F.sum(F.coalesce("hit", F.lit(0))).alias("n_found"), F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
+
+
+def class_recall(keyed: DataFrame, cands: DataFrame) -> DataFrame:
+    """recall() by country where the true pairs are a query and a pool record of equal country and k, without listing them.
+
+    keyed: (id, country, src, k), one row an id; pairs are counted by class, and only candidates are looked at one by one.
+    """
+    own = keyed.where("country is not null and k is not null")
+    true = own.groupBy("country", "k").agg(F.count_if(F.col("src") == "S1").alias("a"), F.count_if(F.col("src") != "S1").alias("b"))
+    true = true.groupBy("country").agg(F.sum(F.col("a") * F.col("b")).alias("n_true")).where("n_true > 0")
+    of = lambda asked, row, k: own.where((F.col("src") == "S1") == asked).select(F.col("id").alias(row), F.col("country").alias(f"{k}_country"), F.col("k").alias(k))
+    both = cands.select("s1_row", "pool_row").join(of(True, "s1_row", "a"), "s1_row").join(of(False, "pool_row", "b"), "pool_row")
+    hits = both.where("a = b and a_country = b_country").groupBy(F.col("a_country").alias("country")).agg(F.count("*").alias("found"))
+    found = F.coalesce("found", F.lit(0)).cast("long")
+    return true.join(hits, "country", "left").select("country", "n_true", found.alias("n_found"), (found / F.col("n_true")).alias("recall"))

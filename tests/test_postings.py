@@ -40,3 +40,15 @@ def test_pairs_meet_in_no_exchange(spark, name):
     df = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "tok" not in plan
+
+
+def test_recall_by_class_lists_no_pairs(spark):
+    """60 copies on either side are 3600 true pairs, which were rows of a join."""
+    rows = [(i, "c", "S1" if i % 2 else "S2", "same") for i in range(120)] + [(200, "c", "S1", "x"), (201, "c", "S3", "y"), (202, None, "S1", "x"), (203, "d", "S1", "z")]
+    keyed = spark.createDataFrame(rows, "id long, country string, src string, k string")
+    cands = spark.createDataFrame([(1, 2), (3, 4), (200, 201), (1, 201)], "s1_row long, pool_row long")
+    side = lambda where, row: keyed.where(where).select(F.col("id").alias(row), "country", "k")
+    true = side("src = 'S1'", "s1_row").join(side("src <> 'S1'", "pool_row"), ["country", "k"])
+    got = blocking.class_recall(keyed, cands)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, blocking.recall(true, cands, "country").collect())) == [("c", 3600, 2, 2 / 3600)]
+    assert got.columns == ["country", "n_true", "n_found", "recall"]
