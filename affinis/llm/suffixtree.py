@@ -43,6 +43,8 @@ BITMAP = 27
 END = int(np.uint64(0x454E445F4F465F5F).astype(np.int64))
 #: Distinct keys that a task sums up before it sends them; requests and documents that make a part; bytes of text per bucket.
 HELD, SENT, ROWS, BUCKET = 1 << 20, 1 << 19, 1 << 16, 1 << 25
+#: Bytes of text per bucket where sequences are counted.
+COUNTED = 1 << 23
 #: With many buckets a part has so many requests for each, up to a limit, so that rows don't get small.
 EACH, MOST_SENT = 32, 1 << 22
 _NEXT = np.uint64(0xD6E8FEB86659FD93)
@@ -212,17 +214,62 @@ def _followers(train: DataFrame, order: int, seen: Bitmap | None) -> DataFrame:
             return longer[use], g[use], e[use]
         return longer, g, e
 
+    buckets = _buckets(train, "text", COUNTED)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _summed((found(b) for b in sliced(batches)), ["g", "e", "n"])
+        for b in _summed((found(b) for b in sliced(batches)), ["g", "e", "n"]):
+            g, e, n = (c.to_numpy() for c in b.columns)
+            order, kinds, edge = _by_bucket(sequence_key(g, e), buckets)
+            parts = [order[x:y] for x, y in zip(edge[:-1], edge[1:], strict=True)]
+            cols = [[np.concatenate([g[p], e[p]]).tobytes() for p in parts], [_small(n[p]) for p in parts]]
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), *(pa.array(c, pa.binary()) for c in cols)], ["bucket", "pairs", "counts"])
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            g, e = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(sequence_key(g, e)), *b.columns], ["k", "g", "e", "n"])
+    dealt = train.select("text").mapInArrow(count, "bucket long, pairs binary, counts binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return stored(dealt.mapInArrow(_frequent, "k long, g long, e long, n long"))
+
+
+def _small(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 up, in as many bytes each as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0)))).tobytes()
+
+
+def _whole(raw: bytes, count: int) -> np.ndarray:
+    """The count numbers of _small."""
+    return np.frombuffer(raw, f"u{len(raw) // max(count, 1) or 1}").astype(np.int64)
 
-    summed = train.select("text").mapInArrow(count, "g long, e long, n long").repartition("g", "e")  # summed in the task already
-    sums = summed.groupBy("g", "e").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
-    return stored(sums.mapInArrow(keyed, "k long, g long, e long, n long"))
+
+def _buckets(df: DataFrame, text_col: str, text_bytes: int) -> int:
+    """As many as have text_bytes of text each, and enough to keep all cores at work."""
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // text_bytes))
+
+
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, g, e, n) of the sequences that came LEAST times; blocks of (g, e) and their counts come by bucket."""
+    bucket, held = None, []
+
+    def totals() -> Iterator[pa.RecordBatch]:
+        g, e, n = (np.concatenate(c) for c in zip(*held, strict=True))
+        k = sequence_key(g, e)
+        order = np.argsort(k, kind="stable")
+        k = k[order]
+        first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        n = np.add.reduceat(n[order], first)
+        often = n >= LEAST
+        at = order[first[often]]
+        t = pa.table([k[first[often]], g[at], e[at], n[often]], ["k", "g", "e", "n"])
+        yield from t.to_batches(max_chunksize=1 << 16)
+
+    for b in batches:
+        for at, pairs, counts in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if at != bucket and held:
+                yield from totals()
+                held = []
+            bucket, both = at, np.frombuffer(pairs, np.int64).reshape(2, -1)
+            held.append((both[0], both[1], _whole(counts, both.shape[1])))
+    if held:
+        yield from totals()
+    trim()
 
 
 def _level(pairs: DataFrame, below: DataFrame, corpus: int, last: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
@@ -316,6 +363,15 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray,
     return order, kinds, np.append(begin, len(keys))
 
 
+def _steps(rows: np.ndarray) -> bytes:
+    """Ascending row numbers as steps from one to the next, which are small."""
+    return _small(np.diff(rows, prepend=0))
+
+
+def _rows(raw: bytes, count: int) -> np.ndarray:
+    return np.cumsum(_whole(raw, count))
+
+
 def _shelved(buckets: int):
     """The table's rows (k, base, gain) in binary blocks by bucket."""
 
@@ -361,11 +417,13 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             place = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
             hit = keys[place] == k
-            row, local = np.unique(np.frombuffer(more, np.uint32)[hit], return_inverse=True)
-            known = np.bincount(local, value[place[hit], 0] > 0, minlength=len(row))
+            row, local = np.unique(_rows(more, len(k))[hit], return_inverse=True)
+            found = value[place[hit]]
+            known, base, gain = (np.bincount(local, c, minlength=len(row)) for c in (found[:, 0] > 0, found[:, 0], found[:, 1]))
             part.append(b.column(2)[i].as_py())
-            rows.append(row.tobytes())
-            sums.append(np.stack([known, *(np.bincount(local, value[place[hit], c], minlength=len(row)) for c in (0, 1))]).tobytes())
+            words = np.flatnonzero(known)  # few of the sequences are words
+            rows.append(np.uint32(len(row)).tobytes() + _steps(row))
+            sums.append(np.uint32(len(words)).tobytes() + gain.tobytes() + base[words].tobytes() + known[words].astype(np.uint32).tobytes() + _steps(words))
         if part:
             yield _with_id(_packed(kind=np.full(len(part), 3, np.int32), part=part, keys=rows, more=sums), b.schema)
         own = np.flatnonzero(kind == 2)
@@ -374,6 +432,13 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trim()
 
 
+def _answer(rows: bytes, sums: bytes) -> tuple[np.ndarray, ...]:
+    """(rows, gains, which of the rows have known words, their number, their base) of an answer."""
+    n, w = (int(np.frombuffer(x, np.uint32, 1)[0]) for x in (rows, sums))
+    gain, base, known = (np.frombuffer(sums, t, c, at) for t, c, at in ((float, n, 4), (float, w, 4 + 8 * n), (np.uint32, w, 4 + 8 * (n + w))))
+    return _rows(rows[4:], n), gain, _rows(sums[4 + 8 * n + 12 * w :], w), known, base
+
+
 def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents' rows with the answers to their requests added; rows come by part."""
     held: list[pa.RecordBatch] = []
@@ -384,8 +449,10 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((3, int(row.max(initial=-1)) + 1))
         answers = b.filter(pa.array(b.column(1).to_numpy() == 3))
         for keys, more in zip(answers.column(8).to_pylist(), answers.column(9).to_pylist(), strict=True):
-            at = np.frombuffer(keys, np.uint32)
-            sums[:, at] += np.frombuffer(more, np.float64).reshape(3, len(at))
+            at, gain, words, known, base = _answer(keys, more)
+            sums[2, at] += gain
+            sums[0, at[words]] += known
+            sums[1, at[words]] += base
         cols = dict(zip(own.schema.names, own.columns, strict=True))
         cols["known"] = pa.array(own.column(5).to_numpy() + sums[0, row].astype(np.int64))
         cols["base"], cols["gain"] = (pa.array(own.column(c).to_numpy() + sums[c - 5, row]) for c in (6, 7))
@@ -416,8 +483,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).alias("id"), (F.lit(False) if held_out is None else held_out).alias("held_out"), F.col(text_col).alias("text"))
-    size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
+    buckets = _buckets(slim, "text", BUCKET)
     enough = max(SENT, min(MOST_SENT, EACH * buckets))
     held = spark.sparkContext.broadcast(tree.local())
 
@@ -428,10 +494,12 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
 
         def flush() -> pa.RecordBatch:
             row, keys = (np.concatenate(c) for c in zip(*asked, strict=True))
+            order = np.argsort(row, kind="stable")
+            row, keys = row[order], keys[order]
             order, kinds, edge = _by_bucket(keys, buckets)
             parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
             n = len(kinds)
-            return _packed(bucket=kinds, kind=np.ones(n, np.int32), part=np.full(n, part), keys=[keys[p].tobytes() for p in parts], more=[row[p].astype(np.uint32).tobytes() for p in parts])
+            return _packed(bucket=kinds, kind=np.ones(n, np.int32), part=np.full(n, part), keys=[keys[p].tobytes() for p in parts], more=[_steps(row[p]) for p in parts])
 
         schema = None
         for b in sliced(batches):

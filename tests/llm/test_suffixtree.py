@@ -120,3 +120,19 @@ def test_bitmap_holds_every_key(spark):
     for bits in (6, 12, 27):
         assert st._bitmap(df, len(keys), bits)(keys).all()
     assert st._bitmap(df, len(keys), 27)(np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 5000)).mean() < 0.3
+
+
+def test_counted_pairs_and_answers_travel_in_blocks(spark):
+    """Counts come from few rows of blocks, not one row a sequence; what blocks hold is read back exactly."""
+    rows = np.array([0, 0, 3, 3, 300, 70000], np.int64)
+    assert st._rows(st._steps(rows), len(rows)).tolist() == rows.tolist()
+    for values in ([], [0, 255], [256, 1], [2**40, 7]):
+        assert st._whole(st._small(np.array(values, np.int64)), len(values)).tolist() == values
+    texts = [(" ".join(f"w{(i * j) % 17}" for j in range(60)),) for i in range(300)]
+    pairs = st._followers(spark.createDataFrame(texts, "text string").repartition(5), 1, None)
+    want = Counter()
+    for (t,) in texts:
+        tokens = [*t.split(), None]
+        want.update(zip(tokens, tokens[1:], strict=False))
+    assert sorted(r.n for r in pairs.collect()) == sorted(n for n in want.values() if n > 1)
+    assert pairs.select("k").distinct().count() == pairs.count()
