@@ -144,6 +144,22 @@ def sequences(tokens: np.ndarray, starts: np.ndarray, most: int) -> Iterator[tup
         yield at, keys
 
 
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(an order that brings equal keys together, where each key begins in it)."""
+    order = np.argsort(keys)
+    return order, _begins(keys[order])
+
+
+def _begins(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+
+
+def _narrow(values: np.ndarray, below: int) -> np.ndarray:
+    """values as 16-bit numbers, which numpy sorts by digits, if below allows it."""
+    return values.astype(np.uint16) if below <= 1 << 16 else values
+
+
 def _summed(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
     """Rows of the parts' columns with n, how often each came (the first column tells them apart).
 
@@ -152,9 +168,9 @@ def _summed(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterat
     held: list[tuple[np.ndarray, ...]] = []
 
     def merge() -> list[tuple[np.ndarray, ...]]:
-        whole = [np.concatenate(c) for c in zip(*held, strict=True)]
-        _, at, inverse = np.unique(whole[0], return_index=True, return_inverse=True)
-        return [(*(c[at] for c in whole[:-1]), np.bincount(inverse, whole[-1]).astype(np.int64))]
+        *cols, n = (np.concatenate(c) for c in zip(*held, strict=True))
+        order, first = _grouped(cols[0])
+        return [(*(c[order[first]] for c in cols), np.add.reduceat(n[order], first) if len(n) else n)]
 
     def rows() -> pa.RecordBatch:
         cols = held[0] if len(names) == len(held[0]) else held[0][1:]
@@ -162,8 +178,9 @@ def _summed(parts: Iterator[tuple[np.ndarray, ...]], names: list[str]) -> Iterat
 
     size = 0
     for part in parts:
-        _, at, n = np.unique(part[0], return_index=True, return_counts=True)
-        held.append((*(c[at] for c in part), n))
+        order, first = _grouped(part[0])
+        at = order[first]
+        held.append((*(c[at] for c in part), np.diff(np.append(first, len(order)))))
         size += len(at)
         if size > HELD:
             held = merge()
@@ -251,13 +268,11 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def totals() -> Iterator[pa.RecordBatch]:
         g, e, n = (np.concatenate(c) for c in zip(*held, strict=True))
         k = sequence_key(g, e)
-        order = np.argsort(k, kind="stable")
-        k = k[order]
-        first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        order, first = _grouped(k)
         n = np.add.reduceat(n[order], first)
         often = n >= LEAST
         at = order[first[often]]
-        t = pa.table([k[first[often]], g[at], e[at], n[often]], ["k", "g", "e", "n"])
+        t = pa.table([k[at], g[at], e[at], n[often]], ["k", "g", "e", "n"])
         yield from t.to_batches(max_chunksize=1 << 16)
 
     for b in batches:
@@ -357,10 +372,11 @@ def _packed(**cols) -> pa.RecordBatch:
 
 def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(order that sorts keys by bucket, the buckets, where each begins and ends in it)."""
-    bucket = (mixed(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    bucket = _narrow((mixed(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), buckets)
     order = np.argsort(bucket, kind="stable")
-    kinds, begin = np.unique(bucket[order], return_index=True)
-    return order, kinds, np.append(begin, len(keys))
+    bucket = bucket[order]
+    begin = _begins(bucket)
+    return order, bucket[begin].astype(np.int64), np.append(begin, len(keys))
 
 
 def _steps(rows: np.ndarray) -> bytes:
@@ -417,7 +433,9 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             place = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
             hit = keys[place] == k
-            row, local = np.unique(_rows(more, len(k))[hit], return_inverse=True)
+            row = _rows(more, len(k))[hit]
+            begin = _begins(row)
+            local, row = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(row)))), row[begin]
             found = value[place[hit]]
             known, base, gain = (np.bincount(local, c, minlength=len(row)) for c in (found[:, 0] > 0, found[:, 0], found[:, 1]))
             part.append(b.column(2)[i].as_py())
@@ -494,7 +512,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
 
         def flush() -> pa.RecordBatch:
             row, keys = (np.concatenate(c) for c in zip(*asked, strict=True))
-            order = np.argsort(row, kind="stable")
+            order = np.argsort(_narrow(row, rows), kind="stable")
             row, keys = row[order], keys[order]
             order, kinds, edge = _by_bucket(keys, buckets)
             parts = [order[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
