@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import dropped, stacked, stored
-from .textops import mixed, sliced, word_hashes
+from .textops import mixed, sliced, trimmed, word_hashes
 
 WORDS, PERCENT = 5, 85
 DEPTH, SMALL, PIVOTS = 3, 24, 2
@@ -281,7 +281,7 @@ def _nodes(vertices: DataFrame, trees: int) -> tuple[DataFrame, DataFrame]:
 def _compared(blocks: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """(members) to confirm, from (block, v)."""
     full = blocks.join(vertices, "v").groupBy("block").agg(F.collect_list(F.struct("v", "sig")).alias("m"))
-    return full.select("m").mapInArrow(_blocks(percent), "members array<long>").distinct()
+    return full.select("m").mapInArrow(trimmed(_blocks(percent)), "members array<long>").distinct()
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
@@ -321,13 +321,13 @@ def _across(large: DataFrame, labels: DataFrame, texts: DataFrame, vertices: Dat
     tile = F.xxhash64("node", "part", "strip").alias("block")
     tiles = minor.select(tile, "v", "label").union(every.select(tile, "v", "label"))
     rows = tiles.join(vertices.select("v", "sig"), "v").select("block", "v", "label", "sig")
-    wanted = stored(_gathered(rows).mapInArrow(_wanted(percent), "block long, v long").distinct())  # sets travel for these only
+    wanted = stored(_gathered(rows).mapInArrow(trimmed(_wanted(percent)), "block long, v long").distinct())  # sets travel for these only
     if wanted.isEmpty():
         return None
     full = _fetched(wanted.select("v").distinct(), texts, vertices, sets).join(vertices.select("v", "sig"), "v")
     label = whole.select("v", "label").distinct()
     rows = wanted.join(label, "v").join(full, "v").select("block", "v", "label", "sig", "set")
-    return stored(_gathered(rows).mapInArrow(_tiles(percent), "a long, b long").distinct())
+    return stored(_gathered(rows).mapInArrow(trimmed(_tiles(percent)), "a long, b long").distinct())
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
@@ -350,7 +350,7 @@ def _confirm(members: DataFrame, texts: DataFrame, vertices: DataFrame, percent:
     each = members.select(F.xxhash64("members").alias("block"), F.explode("members").alias("v"))
     sets = _fetched(each.select("v").distinct(), texts, vertices)
     rows = _gathered(each.join(sets, "v").select("block", "v", "set"))
-    return stored(rows.mapInArrow(_confirmed(percent), "a long, b long").distinct()), sets
+    return stored(rows.mapInArrow(trimmed(_confirmed(percent)), "a long, b long").distinct()), sets
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .textops import gram_hash, mixed, prefix_hash, raw, sliced
+from .textops import gram_hash, mixed, prefix_hash, raw, sliced, trimmed
 
 WIDTH, GRAM = 200, 32
 #: Different contexts of one anchor that one task sorts; beyond it their strings are counted by hash.
@@ -308,7 +308,7 @@ def hashes(text) -> list:
 def _counted(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(h1, h2, lo, hi) of repeated strings in hot buckets, found in groups and one by one."""
     tail = "fp long, h1 long, h2 long, n long"
-    groups = stored(contexts.mapInArrow(_hashed_groups, f"at long, core long, whole long, c long, lo long, hi long, {tail}"))
+    groups = stored(contexts.mapInArrow(trimmed(_hashed_groups), f"at long, core long, whole long, c long, lo long, hi long, {tail}"))
     kinds = stored(groups.groupBy("fp", "at", "core", "whole").agg(F.sum("n").alias("uses"), F.min(F.struct("h1", "h2", "c", "lo", "hi")).alias("own")))
     sure = groups.where("n = 1").join(kinds.where("uses > 1").select("fp", "at", "core", "whole"), ["fp", "at", "core", "whole"]).select("h1", "h2", "lo", "hi")
     rims = stored(kinds.groupBy("fp", "at", "core").agg(F.count("*").alias("kinds"), F.min("uses").alias("least")).where("kinds > 1 and least = 1").select("fp", "at", "core"))
@@ -316,7 +316,7 @@ def _counted(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
     text = contexts.select("fp", "h1", "h2", F.col("lo").alias("c"), "bytes")
     size = F.col("hi") - F.col("lo")
     part = few.join(text, ["fp", "h1", "h2", "c"]).select("fp", "h1", "h2", "lo", (size + 1).alias("strings"), F.col("uses").alias("n"), F.substr("bytes", (F.col("lo") - F.col("c") + 1).cast("int"), (size + WIDTH).cast("int")).alias("bytes"))
-    strings = stored(part.mapInArrow(_hashed_strings, f"w long, s long, {tail}"))
+    strings = stored(part.mapInArrow(trimmed(_hashed_strings), f"w long, s long, {tail}"))
     twice = stored(strings.groupBy("w", "fp").agg(F.sum("n").alias("uses")).where("uses > 1").select("w", "fp"))
     return sure, strings.where("n = 1").join(twice, ["w", "fp"]).select("h1", "h2", F.col("s").alias("lo"), F.col("s").alias("hi"))
 
@@ -339,12 +339,12 @@ def cut_repeats(texts: DataFrame) -> DataFrame:
     listed = found.join(members.groupBy("h1", "h2").agg(F.collect_list("m").alias("m")), ["h1", "h2"])
     clip = "fp long, h1 long, h2 long, lo long, strings long, n long, bytes binary, shift long"
     pick = lambda hot: F.filter("m", lambda x: x["hot"] == hot)
-    clipped = [listed.select("text", "h1", "h2", pick(hot).alias("m")).where(F.size("m") > 0).mapInArrow(_clipped, clip) for hot in (False, True)]
+    clipped = [listed.select("text", "h1", "h2", pick(hot).alias("m")).where(F.size("m") > 0).mapInArrow(trimmed(_clipped), clip) for hot in (False, True)]
     count = max(2, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    by_sort = clipped[0].repartition(count, "fp").sortWithinPartitions("fp").mapInArrow(_sorted_buckets, "h1 long, h2 long, lo long, hi long")
+    by_sort = clipped[0].repartition(count, "fp").sortWithinPartitions("fp").mapInArrow(trimmed(_sorted_buckets), "h1 long, h2 long, lo long, hi long")
     by_group, by_hash = _counted(stored(clipped[1]))
     spans = sure.unionByName(by_sort).unionByName(by_group).unionByName(by_hash).groupBy("h1", "h2").agg(F.collect_list(F.struct("lo", "hi")).alias("r"))
-    return found.join(spans, ["h1", "h2"]).select("h1", "h2", "text", "r").mapInArrow(_keep, "h1 long, h2 long, n_removed long, n_spans long, kept binary")
+    return found.join(spans, ["h1", "h2"]).select("h1", "h2", "text", "r").mapInArrow(trimmed(_keep), "h1 long, h2 long, n_removed long, n_spans long, kept binary")
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -364,7 +364,7 @@ def _readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_texts(df: DataFrame, text_col: str = "text") -> DataFrame:
     """df with the repeats cut out of its texts (characters that a cut splits go whole); no row is dropped."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    cut = cut_repeats(df.select(text.alias("text"))).select("h1", "h2", "kept").mapInArrow(_readable, "_cut_1 long, _cut_2 long, _cut_text string")
+    cut = cut_repeats(df.select(text.alias("text"))).select("h1", "h2", "kept").mapInArrow(trimmed(_readable), "_cut_1 long, _cut_2 long, _cut_text string")
     h = hashes(text)
     out = df.withColumns({"_cut_1": h[0], "_cut_2": h[1]}).join(stored(cut), ["_cut_1", "_cut_2"], "left")
     cols = {text_col: F.coalesce("_cut_text", F.col(text_col))}

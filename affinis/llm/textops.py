@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +22,23 @@ SLICE = 1 << 19
 
 def trim() -> None:
     """Give the worker's freed memory back: workers live on and share their executor's memory with the next stage."""
+    pa.default_memory_pool().release_unused()  # Arrow's buffers aren't in libc's heap
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library
         pass
 
 
+def trimmed(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task, with a trim() at its end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        trim()
+
+    return run
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -256,3 +256,18 @@ def test_packing(spark):
         assert [s for s, _ in sorted(parts)] == ends[:-1]
         assert ends[-1] <= 1024 and ends[-1] & (ends[-1] - 1) == 0  # no padding at all
     assert packing.pack(df.limit(0)).count() == 0
+
+
+def test_a_finished_task_gives_memory_back(monkeypatch):
+    """Workers live on beside the next stage's; Arrow's pool kept what a task had freed."""
+    import pyarrow as pa
+
+    from affinis.llm import textops
+
+    calls = []
+    monkeypatch.setattr(textops, "trim", lambda was=textops.trim: calls.append(was()))
+    batch = pa.record_batch([pa.array([1])], ["x"])
+    task = textops.trimmed(lambda batches: (b for b in batches))
+    out = task(iter([batch]))
+    assert next(out) is batch and not calls
+    assert list(out) == [] and calls == [None]
