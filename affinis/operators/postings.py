@@ -3,7 +3,9 @@
 Tokens travel as postings packed by task, first to their token (which gives its weight), then to the blocks of the records.
 A block is bounded by its number of postings. Each pair of a block of the pool and a group of the queries of one country is
 one task: it adds up a query's scores over the block's inverted lists and sends the query's k best rows. The products are
-the job's inherent work; what is sent grows with the number of blocks, not with the number of pairs that share a word.
+the job's inherent work, and grow with the square of the input. Pairs meet in rounds, each of at most about as many pairs as
+there are blocks, and a round's copies of blocks go before the next one's come: disk grows with the input and not with its
+square. Numbers travel in as few bytes as they need.
 
 Weights are integers, so sums are exact: as doubles below 2^53, else as longs. Null countries meet nothing.
 """
@@ -18,21 +20,46 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import dropped, stored
+from ..storage import dropped, stored, together
 
-#: Postings that a task packs at once, and postings of a block.
-PACK, BLOCK = 1 << 21, 1 << 22
+#: Postings that a task packs at once, those it deals at once, and postings of a block; pairs of blocks of a round, at least.
+PACK, DEAL, BLOCK, MEET = 1 << 21, 1 << 20, 1 << 22, 32
 #: Stands for a null id.
 NO_ID = -(2**63)
-_PACKED = "country string, asked boolean, tok string, n long, ids array<long>"
-_DEALT = "country string, asked boolean, block long, tids array<long>, qs array<long>, uses array<boolean>, sizes array<long>, ids array<long>"
-_BLOCK = "country string, asked boolean, block long, ids binary, norms binary, tids binary, qs binary, starts binary, entries binary"
+_PACKED = "country string, asked boolean, tok string, n long, base long, ids binary"
+_DEALT = "country string, asked boolean, block long, tid long, base long, lists long, n long, tids binary, qs binary, uses binary, sizes binary, ids binary"
+_BLOCK = "country string, asked boolean, block long, raw array<long>, ids binary, norms binary, tids binary, qs binary, starts binary, entries binary"
+_ARRAYS = ("ids", "norms", "tids", "qs", "starts", "entries")
 _FOUND = "s1_row long, pool_row long, country string, score double"
 
 
-def _lists(values: np.ndarray, starts: np.ndarray) -> pa.Array:
-    """Lists of values that begin at starts and fill everything."""
-    return pa.LargeListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int64()), pa.array(values)).cast(pa.list_(pa.from_numpy_dtype(values.dtype)))
+def _bytes(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Lists of whole numbers from 0 up that begin at starts and fill everything; each in as few bytes as the largest needs."""
+    small = values.astype(np.min_scalar_type(int(values.max(initial=0))))
+    edges = (np.append(starts, len(values)) * small.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(small)])
+
+
+def _numbers(lists: pa.Array, n: np.ndarray) -> np.ndarray:
+    """All numbers of lists of _bytes, which have n of them each; their bytes may differ."""
+    raw = lists.cast(pa.binary())
+    if not len(raw):
+        return np.zeros(0, np.int64)
+    edges = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1]
+    data, size = np.frombuffer(raw.buffers()[2], np.uint8)[edges[0] : edges[-1]], np.diff(edges)
+    widths = size // n
+    if (widths == widths[0]).all():
+        return data.view(f"u{widths[0]}").astype(np.int64)
+    out, own = np.empty(n.sum(), np.int64), np.repeat(widths, n)
+    for w in np.unique(widths):
+        out[own == w] = data[np.repeat(widths == w, size)].view(f"u{w}").astype(np.int64)
+    return out
+
+
+def _based(ids: np.ndarray) -> tuple[int, np.ndarray]:
+    """(the smallest id, what each has above it)."""
+    base = ids.min()
+    return int(base), ids.view(np.uint64) - np.array([base]).view(np.uint64)
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -66,8 +93,8 @@ def _pack(t: pa.Table) -> Iterator[pa.RecordBatch]:
     first = _runs(key)
     names = pc.take(pa.concat_arrays([pa.array([""], words.dictionary.type), words.dictionary]), pa.array(tok[first] + 1))
     cols = [pc.take(places.dictionary, pa.array(country[at[first]])), pa.array(asked[at[first]]), names]
-    ids = t["id"].to_numpy()[at]
-    out = pa.table([*cols, pa.array(np.diff(np.append(first, len(at)))), _lists(ids, first)], ["country", "asked", "tok", "n", "ids"])
+    base, ids = _based(t["id"].to_numpy())
+    out = pa.table([*cols, pa.array(np.diff(np.append(first, len(at)))), pa.array(np.full(len(first), base)), _bytes(ids[at], first)], ["country", "asked", "tok", "n", "base", "ids"])
     yield from out.to_batches(max_chunksize=1 << 16)
 
 
@@ -91,37 +118,44 @@ def _place(ids: np.ndarray, count: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(33)).astype(np.int64) % count
 
 
+def _steps(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Pieces of b of about DEAL postings."""
+    edge = _runs(np.cumsum(b["n"].to_numpy()) // DEAL) if b.num_rows else []
+    for x, y in zip(edge, [*edge[1:], b.num_rows], strict=True):
+        yield b.slice(x, y - x)
+
+
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Postings by block; rows come with equal tokens together, and each (country, token) gets a number of its own."""
     from pyspark import TaskContext
 
     tid, last = TaskContext.get().partitionId() << 40, None
-    for b in batches:
-        if not b.num_rows:
-            continue
+    for b in (x for batch in batches for x in _steps(batch)):
         words, places = pc.dictionary_encode(b["tok"]), pc.dictionary_encode(b["country"])
         tok, country = words.indices.to_numpy(), places.indices.to_numpy()
         new = np.zeros(len(tok), np.int64)
         new[_runs(tok, country)] = 1
         if last == (b["country"][0].as_py(), b["tok"][0].as_py()):
             new[0] = 0
-        tids = tid + np.cumsum(new)
-        tid, last = int(tids[-1]), (b["country"][-1].as_py(), b["tok"][-1].as_py())
+        step = np.cumsum(new)
         asked, count = b["asked"].to_numpy(zero_copy_only=False), b["blocks"].to_numpy()
-        sizes, ids = b["n"].to_numpy(), b["ids"].flatten().to_numpy()
+        sizes = b["n"].to_numpy()
         row = np.repeat(np.arange(len(sizes)), sizes)
+        ids = b["base"].to_numpy()[row] + _numbers(b["ids"], sizes)
         block = _place(ids, count[row])
         order = np.lexsort((row, block, (country * 2 + asked)[row]))
         row, block, ids = row[order], block[order], ids[order]
         lists = _runs(row, block)  # one token of one block
         r, sizes = row[lists], np.diff(np.append(lists, len(ids)))
         groups = _runs(country[r], asked[r], block[lists])
-        q, use = b["q"].to_numpy()[r], b["use"].to_numpy(zero_copy_only=False)[r]
-        head = r[groups]
-        cols = [pc.take(places.dictionary, pa.array(country[head])), pa.array(asked[head]), pa.array(block[lists][groups])]
-        cols += [_lists(x, groups) for x in (tids[r], q)]
-        cols += [pa.ListArray.from_arrays(pa.array(np.append(groups, len(r)), pa.int32()), pa.array(use)), _lists(sizes, groups), _lists(ids, lists[groups])]
-        yield pa.RecordBatch.from_arrays(cols, ["country", "asked", "block", "tids", "qs", "uses", "sizes", "ids"])
+        head, (base, above) = r[groups], _based(ids)
+        same = lambda x, n=len(groups): pa.array(np.full(n, x))
+        count = np.diff(np.append(lists[groups], len(ids)))
+        cols = [pc.take(places.dictionary, pa.array(country[head])), pa.array(asked[head]), pa.array(block[lists][groups]), same(tid), same(base)]
+        cols += [pa.array(np.diff(np.append(groups, len(r)))), pa.array(count)]
+        cols += [_bytes(x, groups) for x in (step[r], b["q"].to_numpy()[r], b["use"].to_numpy(zero_copy_only=False)[r].astype(np.uint8), sizes)]
+        yield pa.RecordBatch.from_arrays([*cols, _bytes(above, lists[groups])], [c.split()[0] for c in _DEALT.split(", ")])
+        tid, last = tid + int(step[-1]), (b["country"][-1].as_py(), b["tok"][-1].as_py())
 
 
 def _sum(values: np.ndarray, at: np.ndarray, n: int, big: bool) -> np.ndarray:
@@ -138,11 +172,13 @@ def _built(t: pa.Table) -> pa.Table:
 
     In a block of the pool, entries are records by word; in one of the queries, words by record.
     """
-    flat = lambda c: t[c].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    asked, sizes = t["asked"][0].as_py(), flat("sizes")
-    ids, row = np.unique(flat("ids"), return_inverse=True)
+    t = t.combine_chunks()
+    flat = lambda c, n: _numbers(t[c].combine_chunks(), t[n].to_numpy())
+    asked, sizes = t["asked"][0].as_py(), flat("sizes", "lists")
+    ids, row = np.unique(np.repeat(t["base"].to_numpy(), t["n"].to_numpy()) + flat("ids", "n"), return_inverse=True)
     row = row.astype(np.int32)
-    q, use, tid = flat("qs"), np.repeat(flat("uses"), sizes), flat("tids")
+    q, use = flat("qs", "lists"), np.repeat(flat("uses", "lists") > 0, sizes)
+    tid = np.repeat(t["tid"].to_numpy(), t["lists"].to_numpy()) + flat("tids", "lists")
     square = np.repeat(q * q, sizes)
     norms = _sum(square, row, len(ids), float(square.sum(dtype=float)) >= 2.0**53).astype(np.int64)
     del square
@@ -152,13 +188,16 @@ def _built(t: pa.Table) -> pa.Table:
     order = np.argsort(by, kind="stable")
     starts = np.concatenate([[0], np.cumsum(np.bincount(by, minlength=n))])
     kept = entry[order].astype(np.min_scalar_type(max(len(ids), len(tids))) if asked else np.min_scalar_type(len(ids)))
-    cols = [ids, norms, tids, q[first], starts.astype(np.int64), kept]
-    return pa.table([t["country"][:1], t["asked"][:1], t["block"][:1], *[pa.array([c.tobytes()], pa.binary()) for c in cols]], ["country", "asked", "block", "ids", "norms", "tids", "qs", "starts", "entries"])
+    cols = [np.diff(ids, prepend=0), norms, np.diff(tids, prepend=0), q[first], np.diff(starts, prepend=0).astype(np.int64), kept]
+    packed = [pa.array([pa.compress(c.tobytes(), "zstd", asbytes=True)], pa.binary()) for c in cols]
+    return pa.table([t["country"][:1], t["asked"][:1], t["block"][:1], pa.array([[c.nbytes for c in cols]]), *packed], [c.split()[0] for c in _BLOCK.split(", ")])
 
 
 def _arrays(t: pa.Table, own: str) -> list[np.ndarray]:
-    ids, norms, tids, q, starts = (np.frombuffer(t[f"{own}_{c}"][0].as_py(), np.int64) for c in ("ids", "norms", "tids", "qs", "starts"))
-    raw = t[f"{own}_entries"][0].as_py()
+    sizes = t[f"{own}_raw"][0].as_py()
+    *cols, raw = (pa.decompress(t[f"{own}_{c}"][0].as_py(), n, "zstd", asbytes=True) for c, n in zip(_ARRAYS, sizes, strict=True))
+    ids, norms, tids, q, starts = (np.frombuffer(c, np.int64) for c in cols)
+    ids, tids, starts = (np.cumsum(c) for c in (ids, tids, starts))
     kind = np.dtype(f"u{len(raw) // int(starts[-1])}") if starts[-1] else np.dtype("u1")
     return [ids, norms, tids, q, starts, np.frombuffer(raw, kind).astype(np.int64)]
 
@@ -199,6 +238,12 @@ def _best(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return search
 
 
+def _rounds(sizes: DataFrame) -> int:
+    """In how many rounds blocks and groups meet: a round has at most as many pairs as there are blocks and groups, or MEET, and once as many blocks."""
+    pairs, blocks = sizes.agg(F.sum(F.col("blocks") * F.col("groups")), F.sum(F.col("blocks") + F.col("groups"))).first()
+    return max(1, -(-(pairs or 0) // max(blocks or 0, MEET)))
+
+
 def top_k(listed: DataFrame, k: int, cap: float, block: int = BLOCK) -> DataFrame:
     """(s1_row, pool_row, country, score, rank) of records (id, country, src, toks): as blocking.search of their weights, in a stored table."""
     kind = listed.schema["id"].dataType
@@ -213,19 +258,25 @@ def top_k(listed: DataFrame, k: int, cap: float, block: int = BLOCK) -> DataFram
     known = packed.where(real).withColumns({"df": of(pool), "wanted": of(F.col("asked"))}).where("df is not null").join(sizes, "country")
     q = F.round((F.ln(F.col("records").cast("double")) - F.ln(F.col("df").cast("double"))) * 10000).cast("long")
     use = (F.col("df") <= cap * F.col("records")) & F.col("wanted").isNotNull()
-    dealt = known.select("country", "asked", "tok", q.alias("q"), use.alias("use"), F.when(F.col("asked"), F.col("groups")).otherwise(F.col("blocks")).alias("blocks"), "n", "ids")
+    dealt = known.select("country", "asked", "tok", q.alias("q"), use.alias("use"), F.when(F.col("asked"), F.col("groups")).otherwise(F.col("blocks")).alias("blocks"), "n", "base", "ids")
     dealt = stored(dealt.mapInArrow(_dealt, _DEALT), "zstd")  # the first exchange's files go before the second one's come
     dropped(packed)
-    built = stored(dealt.groupBy("country", "asked", "block").applyInArrow(_built, _BLOCK), "zstd")
+    built = stored(dealt.groupBy("country", "asked", "block").applyInArrow(_built, _BLOCK))
     dropped(dealt)
-    each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-    data = ("ids", "norms", "tids", "qs", "starts", "entries")
-    side = lambda mine, own, other, count: built.where(mine).join(sizes, "country").select(F.col("country").alias(f"{own}_country"), F.col("block").alias(own), each(count).alias(other), *[F.col(c).alias(f"{own}_{c}") for c in data])
-    a, b = side(F.col("asked"), "g", "b", "blocks"), side(~F.col("asked"), "b", "g", "groups")
-    near = a.groupBy("g_country", "g", "b").cogroup(b.groupBy("b_country", "g", "b")).applyInArrow(_best(k), _FOUND)
+    rounds = _rounds(sizes)
+    each = lambda c, use: F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col(c) - 1), use))
+    side = lambda mine, own, other, copies: built.where(mine).join(sizes, "country").select(F.col("country").alias(f"{own}_country"), F.col("block").alias(own), copies.alias(other), *[F.col(c).alias(f"{own}_{c}") for c in ("raw", *_ARRAYS)])
+
+    def near(i: int) -> DataFrame:
+        """What the pairs of blocks of round i find."""
+        turn = lambda g: g % rounds == i
+        a = side(F.col("asked") & turn(F.col("block")), "g", "b", each("blocks", lambda b: F.lit(True)))
+        b = side(~F.col("asked"), "b", "g", each("groups", turn))
+        return a.groupBy("g_country", "g", "b").cogroup(b.groupBy("b_country", "g", "b")).applyInArrow(_best(k), _FOUND)
+
     order = Window.partitionBy("s1_row").orderBy(F.desc("score"), "pool_row")
     own = lambda c: F.nullif(c, F.lit(NO_ID)).cast(kind).alias(c)
-    best = stored(near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(own("s1_row"), own("pool_row"), "country", "score", "rank"))
+    best = together([stored(near(i).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(own("s1_row"), own("pool_row"), "country", "score", "rank")) for i in range(rounds)])
     dropped(built)
     dropped(sizes)
     return best

@@ -46,9 +46,19 @@ def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folders(df: DataFrame) -> set[str]:
+    return {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+
+
+def together(tables: list[DataFrame]) -> DataFrame:
+    """The rows of stored tables of one schema as one table."""
+    folders = sorted(set().union(*map(_folders, tables)))
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*folders) if folders else tables[0]
+
+
 def dropped(df: DataFrame) -> None:
     """Delete the files of a stored table that nothing reads any more."""
     spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for file in _folders(df):
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -52,3 +52,44 @@ def test_recall_by_class_lists_no_pairs(spark):
     got = blocking.class_recall(keyed, cands)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, blocking.recall(true, cands, "country").collect())) == [("c", 3600, 2, 2 / 3600)]
     assert got.columns == ["country", "n_true", "n_found", "recall"]
+
+
+def test_rounds_bound_the_copies_of_blocks(spark, words, monkeypatch):
+    """All pairs of blocks met in one exchange, whose copies grew with the square of the input."""
+    import pyarrow as pa
+
+    def meeting(k):
+        def one(a, b):
+            both = a.num_rows and b.num_rows
+            return pa.table([[a["g"][0].as_py() * 10**6 + b["b"][0].as_py()], [0], ["c"], [1.0]] if both else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.string(), pa.float64())], names=["s1_row", "pool_row", "country", "score"])
+
+        return one
+
+    rounds, sizes, stored = [], [], postings.stored
+
+    def spied(df, *codec):
+        out = stored(df, *codec)
+        if "rank" in df.columns:
+            rounds.append(out.count())
+        if "groups" in df.columns:
+            sizes.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(postings, "stored", spied)
+    monkeypatch.setattr(postings, "_best", meeting)
+    postings.top_k(words, 10**6, 1.0, 150)
+    blocks, pairs = sum(r.blocks + r.groups for r in sizes), sum(r.blocks * r.groups for r in sizes)
+    assert pairs > 4 * blocks and sum(rounds) > 0.9 * pairs
+    assert max(rounds) <= 2 * blocks
+
+
+def test_numbers_of_any_size_pass_as_bytes():
+    import numpy as np
+    import pyarrow as pa
+
+    parts = [postings._bytes(np.array(x), np.array([0, 2])) for x in ([1, 2, 3], [70000, 1, 2**40], [0, 300, 7])]
+    both = pa.concat_arrays(parts)
+    assert postings._numbers(both, np.array([2, 1] * 3)).tolist() == [1, 2, 3, 70000, 1, 2**40, 0, 300, 7]
+    assert postings._numbers(both.slice(1, 3), np.array([1, 2, 1])).tolist() == [3, 70000, 1, 2**40]
+    base, above = postings._based(np.array([5, postings.NO_ID, 2**62]))
+    assert (np.full(3, base) + above.astype(np.int64)).tolist() == [5, postings.NO_ID, 2**62]
