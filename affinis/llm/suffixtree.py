@@ -24,11 +24,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import dropped, stored
@@ -86,7 +87,7 @@ class Bitmap:
 
 @dataclass
 class Tree:
-    """total, distinct: tokens and words of the training documents; model: the table (k, base, gain, n) of all sequences.
+    """total, distinct: tokens and words of the training documents; model: the table (k, base, gain) of the terms of all sequences.
 
     base: log10(count + 1) of a word; gain: what else a sequence adds to a score. The rest is the part that is broadcast.
     """
@@ -206,10 +207,46 @@ def word_counts(train: DataFrame) -> DataFrame:
 def _bitmap(keys: DataFrame, count: int, bits: int) -> Bitmap:
     """A bitmap of keys (k): about eight slots a key, at most 2 ** bits."""
     bits = max(6, min(bits, (8 * max(count, 1)).bit_length()))
-    slots = keys.select(F.shiftrightunsigned("k", 64 - bits).alias("slot"))
-    rows = slots.groupBy(F.shiftright("slot", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("b")).toArrow()  # at most 2 ** (bits - 6)
-    words = np.zeros(1 << (bits - 6), np.uint64)
-    words[rows.column("w").to_numpy()] = rows.column("b").to_numpy().view(np.uint64)
+    cut = bits - min(6, bits - 6)  # a piece holds so many of a slot's lower bits
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            own = np.unique(np.concatenate(held))
+            piece = own >> np.uint32(cut)
+            begin = _begins(piece)
+            own &= np.uint32((1 << cut) - 1)
+            return pa.RecordBatch.from_arrays([pa.array(piece[begin].astype(np.int64)), pa.array([x.tobytes() for x in np.split(own, begin[1:])], pa.binary())], ["piece", "slots"])
+
+        for b in batches:
+            if b.num_rows:
+                held.append((b.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.uint32))
+            if sum(map(len, held)) >= HELD:
+                yield flush()
+                held.clear()
+        if held:
+            yield flush()
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, marks = None, np.zeros(1 << cut, bool)
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([last]), pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary())], ["piece", "slots"])
+        for b in batches:
+            for piece, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if last not in (None, piece):
+                    yield done()
+                    marks[:] = False
+                last = piece
+                marks[np.frombuffer(raw, np.uint32)] = True
+        if last is not None:
+            yield done()
+
+    dealt = keys.select("k").mapInArrow(slots, "piece long, slots binary").repartition("piece").sortWithinPartitions("piece")
+    rows = dealt.mapInArrow(filled, "piece long, slots binary").toArrow()  # at most 2 ** bits bits
+    raw = np.zeros(1 << (bits - 3), np.uint8)
+    for piece, part in zip(*(rows.column(c).to_pylist() for c in ("piece", "slots")), strict=True):
+        raw[piece << (cut - 3) : (piece + 1) << (cut - 3)] = np.frombuffer(part, np.uint8)
+    words = raw.view(np.uint64)
     return Bitmap(words, bits)
 
 
@@ -288,7 +325,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _level(pairs: DataFrame, below: DataFrame, corpus: int, last: bool) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
-    """(table (k, n, p, x) of the sequences, terms (k, x) of the states, stored tables behind both).
+    """(table (k, n, p, x) of the sequences, terms (k, n, x) of the states, stored tables behind both).
 
     pairs: (k, g, e, n); below: (k, n, p) of the sequences one token shorter: count, and probability of the last token.
     x: the sequence's own term. last: only sequences whose context is a state are wanted.
@@ -299,7 +336,7 @@ def _level(pairs: DataFrame, below: DataFrame, corpus: int, last: bool) -> tuple
     rest, total = F.col("total") - F.col("seen"), F.col("total").cast("double")
     other = F.when(rest > 0, rest * F.log(rest / total / F.greatest(1 - F.col("mass"), F.lit(1e-12)))).otherwise(0.0)
     ctx = ctx.where(F.col("gain") - F.col("seen") * F.log(total) + other > 0.5 * math.log(max(corpus, 2)) * F.col("kinds"))
-    states = stored(ctx.select("g", (F.col("total") + F.col("kinds") + 1).cast("double").alias("all"), ((rest + F.col("kinds") + 1) / (F.col("total") + F.col("kinds") + 1)).alias("back")))
+    states = stored(ctx.select("g", "total", (F.col("total") + F.col("kinds") + 1).cast("double").alias("all"), ((rest + F.col("kinds") + 1) / (F.col("total") + F.col("kinds") + 1)).alias("back")))
     mixture = F.col("n") / F.col("all") + F.col("back") * F.col("was")
     p = F.when(F.col("back").isNull(), F.col("was")).otherwise(mixture)
     x = F.when(F.col("back").isNull(), F.lit(0.0)).otherwise(F.log10(mixture) - F.log10(F.col("back") * F.col("was")))
@@ -307,16 +344,33 @@ def _level(pairs: DataFrame, below: DataFrame, corpus: int, last: bool) -> tuple
     if not last:
         table = stored(table)
         dropped(near)
-    return table, states.select(F.col("g").alias("k"), F.log10("back").alias("x")), [near if last else table, states]
+    return table, states.select(F.col("g").alias("k"), F.col("total").alias("n"), F.log10("back").alias("x")), [near if last else table, states]
+
+
+@contextmanager
+def _hashed(spark: SparkSession) -> Iterator[None]:
+    """Joins whose partitions are no larger than Spark's own advice need no sort in this block."""
+    key = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    was = spark.conf.get(key)
+    spark.conf.set(key, spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
 
 
 def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: float = MIN_WORD, min_pair: float = MIN_PAIR, bits: int = BITMAP) -> Tree:
     """The tree of the documents in train (column text), whose word_counts are counts. One pass over them per depth."""
+    with _hashed(train.sparkSession):
+        return _grown(train, counts, depth, min_word, min_pair, bits)
+
+
+def _grown(train: DataFrame, counts: DataFrame, depth: int, min_word: float, min_pair: float, bits: int) -> Tree:
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     zero = F.lit(0.0)
     below = counts.select("k", "n", ((F.col("n") + 1) / F.lit(float(total + distinct + 1))).alias("p"))
     terms = counts.select("k", F.log10(F.col("n") + 1.0).alias("base"), zero.alias("gain"), "n", F.lit(1).alias("order"))
-    seen, none, behind = None, F.lit(0).cast("long"), []
+    seen, behind = None, []
     for order in range(1, depth + 1):
         pairs = _followers(train, order, seen)
         kinds = pairs.count()
@@ -324,17 +378,16 @@ def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: floa
             break
         below, states, tables = _level(pairs, below, total, order == depth)
         behind += tables
-        terms = terms.unionByName(below.select("k", zero.alias("base"), F.col("x").alias("gain"), "n", F.lit(2).alias("order")))
-        terms = terms.unionByName(states.select("k", zero.alias("base"), F.col("x").alias("gain"), none.alias("n"), F.lit(0).alias("order")))
+        for rows, size in ((below.where("x <> 0"), 2), (states, min(order, 2))):
+            terms = terms.unionByName(rows.select("k", zero.alias("base"), F.col("x").alias("gain"), "n", F.lit(size).alias("order")))
         if order < depth:
             seen = _bitmap(pairs, kinds, bits)
         dropped(pairs)
-    model = terms.groupBy("k").agg(F.sum("base").alias("base"), F.sum("gain").alias("gain"), F.max("n").alias("n"), F.max("order").alias("order"))
     often = F.col("n") >= F.when(F.col("order") == 1, min_word).otherwise(min_pair) * F.lit(float(total))
-    model = stored(model.where("base <> 0 or gain <> 0").select("k", "base", "gain", often.alias("often")))
+    model = stored(terms.select("k", "base", "gain", often.alias("often")))  # all terms of a key are often or none; the others are added up where they are looked up
     for t in behind:
         dropped(t)
-    top = model.where("often").select("k", "base", "gain").toArrow()  # at most 1 / min_word + depth / min_pair rows
+    top = model.where("often").groupBy("k").agg(F.sum("base").alias("base"), F.sum("gain").alias("gain")).toArrow()  # at most 1 / min_word + depth / min_pair rows
     order = np.argsort(top.column("k").to_numpy())
     rest = model.where("not often")
     k, base, gain = (top.column(c).to_numpy()[order] for c in ("k", "base", "gain"))
@@ -427,8 +480,8 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if shelf:
                 keys, value = (np.concatenate([own, *c]) for own, c in zip((keys, value), zip(*shelf, strict=True), strict=True))
-                order = np.argsort(keys)
-                keys, value, shelf = keys[order], value[order], []
+                order, begin = _grouped(keys)
+                keys, value, shelf = keys[order[begin]], np.add.reduceat(value[order], begin), []
             if not len(keys):
                 continue
             place = np.minimum(np.searchsorted(keys, k), len(keys) - 1)

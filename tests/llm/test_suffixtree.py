@@ -136,3 +136,22 @@ def test_counted_pairs_and_answers_travel_in_blocks(spark):
         want.update(zip(tokens, tokens[1:], strict=False))
     assert sorted(r.n for r in pairs.collect()) == sorted(n for n in want.values() if n > 1)
     assert pairs.select("k").distinct().count() == pairs.count()
+
+
+def test_terms_of_a_sequence_are_added_where_they_are_looked_up(spark, monkeypatch):
+    """All terms went through an exchange to be added up, and every slot of a bitmap was a row."""
+    rows, df = frame(spark)
+    plans, stored = {}, st.stored
+
+    def spied(table, *codec):
+        plans[tuple(table.columns)] = table._jdf.queryExecution().optimizedPlan().toString()
+        return stored(table, *codec)
+
+    monkeypatch.setattr(st, "stored", spied)
+    tree = st.grow(df, st.word_counts(df), min_word=9.0, min_pair=9.0)
+    assert "Aggregate" not in plans["k", "base", "gain", "often"]
+    terms = Counter(r.k for r in tree.model.collect())
+    assert max(terms.values()) == 2
+    model = Plain([t for _, t, *_ in rows], st.DEPTH)
+    got = Counter((r.id, round(r.score, 6)) for r in st.score(df, tree).collect())
+    assert got == Counter((i, round(model.score(t, st.DEPTH), 6)) for i, t, *_ in rows)
