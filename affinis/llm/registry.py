@@ -55,8 +55,7 @@ def op10_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = suffixtree.crc_fold("doc_id") == 2
     train = docs.where(~out)
-    counts = suffixtree.word_counts(train)
-    return suffixtree.score(docs, suffixtree.grow(train, counts), held_out=out).withColumnRenamed("id", "doc_id")
+    return suffixtree.score(docs, suffixtree.grow(train), held_out=out).withColumnRenamed("id", "doc_id")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,8 @@ HELD, SENT, ROWS, BUCKET = 1 << 20, 1 << 19, 1 << 16, 1 << 25
 COUNTED = 1 << 23
 #: With many buckets a part has so many requests for each, up to a limit, so that rows don't get small.
 EACH, MOST_SENT = 32, 1 << 22
+#: Context of the words that are counted beside the sequences.
+NONE = 0
 _NEXT = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -250,10 +252,11 @@ def _bitmap(keys: DataFrame, count: int, bits: int) -> Bitmap:
     return Bitmap(words, bits)
 
 
-def _followers(train: DataFrame, order: int, seen: Bitmap | None) -> DataFrame:
+def _followers(train: DataFrame, order: int, seen: Bitmap | None, words: bool = False) -> DataFrame:
     """(k, g, e, n) of the sequences of order + 1 tokens that came LEAST times: context g, event e (without the first token).
 
     seen: what the sequences of order tokens that came LEAST times may be; others cannot be part of these.
+    words: with all tokens, as events of the context NONE.
     """
     held = train.sparkSession.sparkContext.broadcast(seen)
 
@@ -265,7 +268,9 @@ def _followers(train: DataFrame, order: int, seen: Bitmap | None) -> DataFrame:
         g, e = whole[to - 1], whole[to]
         if held.value is not None:
             use = held.value(g) & held.value(e)
-            return longer[use], g[use], e[use]
+            longer, g, e = longer[use], g[use], e[use]
+        if words:
+            longer, g, e = (np.concatenate(c) for c in ((longer, tokens), (g, np.full(len(tokens), NONE)), (e, tokens)))
         return longer, g, e
 
     buckets = _buckets(train, "text", COUNTED)
@@ -307,7 +312,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = sequence_key(g, e)
         order, first = _grouped(k)
         n = np.add.reduceat(n[order], first)
-        often = n >= LEAST
+        often = (n >= LEAST) | (g[order[first]] == NONE)
         at = order[first[often]]
         t = pa.table([k[at], g[at], e[at], n[often]], ["k", "g", "e", "n"])
         yield from t.to_batches(max_chunksize=1 << 16)
@@ -359,20 +364,28 @@ def _hashed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, was)
 
 
-def grow(train: DataFrame, counts: DataFrame, depth: int = DEPTH, min_word: float = MIN_WORD, min_pair: float = MIN_PAIR, bits: int = BITMAP) -> Tree:
-    """The tree of the documents in train (column text), whose word_counts are counts. One pass over them per depth."""
+def grow(train: DataFrame, counts: DataFrame | None = None, depth: int = DEPTH, min_word: float = MIN_WORD, min_pair: float = MIN_PAIR, bits: int = BITMAP) -> Tree:
+    """The tree of the documents in train (column text). One pass over them per depth.
+
+    counts: their word_counts, if these are known; else words are counted in the first pass.
+    """
     with _hashed(train.sparkSession):
         return _grown(train, counts, depth, min_word, min_pair, bits)
 
 
-def _grown(train: DataFrame, counts: DataFrame, depth: int, min_word: float, min_pair: float, bits: int) -> Tree:
+def _grown(train: DataFrame, counts: DataFrame | None, depth: int, min_word: float, min_pair: float, bits: int) -> Tree:
+    first = None
+    if counts is None:
+        both = _followers(train, 1, None, words=True)
+        counts = stored(both.where(F.col("g") == NONE).select(F.col("e").alias("k"), "n"))
+        first = both.where(F.col("g") != NONE)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     zero = F.lit(0.0)
     below = counts.select("k", "n", ((F.col("n") + 1) / F.lit(float(total + distinct + 1))).alias("p"))
     terms = counts.select("k", F.log10(F.col("n") + 1.0).alias("base"), zero.alias("gain"), "n", F.lit(1).alias("order"))
     seen, behind = None, []
     for order in range(1, depth + 1):
-        pairs = _followers(train, order, seen)
+        pairs = _followers(train, order, seen) if first is None or order > 1 else first
         kinds = pairs.count()
         if not kinds:
             break

@@ -155,3 +155,23 @@ def test_terms_of_a_sequence_are_added_where_they_are_looked_up(spark, monkeypat
     model = Plain([t for _, t, *_ in rows], st.DEPTH)
     got = Counter((r.id, round(r.score, 6)) for r in st.score(df, tree).collect())
     assert got == Counter((i, round(model.score(t, st.DEPTH), 6)) for i, t, *_ in rows)
+
+
+def test_words_are_counted_in_the_first_pass(spark, monkeypatch):
+    """A pass of its own over all texts counted the words."""
+    _, df = frame(spark)
+    plans, stored = [], st.stored
+
+    def spied(table, *codec):
+        plans.append(table._jdf.queryExecution().optimizedPlan().toString())
+        return stored(table, *codec)
+
+    known = st.grow(df, st.word_counts(df))
+    monkeypatch.setattr(st, "stored", spied)
+    tree = st.grow(df)
+    assert sum("text" in p for p in plans) == st.DEPTH
+    assert (tree.total, tree.distinct) == (known.total, known.distinct)
+    got, want = ([(r.id, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in st.score(df, t).collect()] for t in (tree, known))
+    assert Counter(got) == Counter(want)
+    empty = st.grow(df.limit(0))
+    assert (empty.total, empty.distinct) == (0, 0)
