@@ -1,11 +1,12 @@
 """Exact top-k of all queries by cosine, block by block: pairs of records never leave the task that scores them.
 
 Tokens travel as postings packed by task, first to their token (which gives its weight), then to the blocks of the records.
-A block is bounded by its number of postings. Each pair of a block of the pool and a group of the queries of one country is
-one task: it adds up a query's scores over the block's inverted lists and sends the query's k best rows. The products are
-the job's inherent work, and grow with the square of the input. Pairs meet in rounds, each of at most about as many pairs as
-there are blocks, and a round's copies of blocks go before the next one's come: disk grows with the input and not with its
-square. Numbers travel in as few bytes as they need.
+A block is bounded by its number of postings. Where a block of the pool and a group of the queries of one country meet, a
+task adds up a query's scores over the block's inverted lists; it keeps the query's k best rows of all its blocks and sends
+only these. The products are the job's inherent work, and grow with the square of the input. Tasks read blocks and groups
+where they are stored, so no copy of them enters an exchange: what is shuffled and on disk grows with the input and not with
+its square. Pairs meet in rounds, each of at most about as many pairs as there are blocks. Numbers travel in as few bytes as
+they need.
 
 Weights are integers, so sums are exact: as doubles below 2^53, else as longs. Null countries meet nothing.
 """
@@ -13,22 +14,27 @@ Weights are integers, so sums are exact: as doubles below 2^53, else as longs. N
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..storage import dropped, stored, together
 
 #: Postings that a task packs at once, those it deals at once, and postings of a block; pairs of blocks of a round, at least.
 PACK, DEAL, BLOCK, MEET = 1 << 21, 1 << 20, 1 << 22, 32
+#: Tasks of a round for each core, and best rows that one holds at most before it sends them.
+SPREAD, HELD = 4, 1 << 22
+#: Folders of the blocks of the pool, and of countries with one block and one group; groups are in their round's.
+POOL, ALONE = -1, -2
 #: Stands for a null id.
 NO_ID = -(2**63)
 _PACKED = "country string, asked boolean, tok string, n long, base long, ids binary"
-_DEALT = "country string, asked boolean, block long, tid long, base long, lists long, n long, tids binary, qs binary, uses binary, sizes binary, ids binary"
-_BLOCK = "country string, asked boolean, block long, raw array<long>, ids binary, norms binary, tids binary, qs binary, starts binary, entries binary"
+_DEALT = "country string, asked boolean, block long, alone boolean, tid long, base long, lists long, n long, tids binary, qs binary, uses binary, sizes binary, ids binary"
+_BLOCK = "country string, asked boolean, block long, alone boolean, raw array<long>, ids binary, norms binary, tids binary, qs binary, starts binary, entries binary"
 _ARRAYS = ("ids", "norms", "tids", "qs", "starts", "entries")
 _FOUND = "s1_row long, pool_row long, country string, score double"
 
@@ -151,7 +157,7 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, (base, above) = r[groups], _based(ids)
         same = lambda x, n=len(groups): pa.array(np.full(n, x))
         count = np.diff(np.append(lists[groups], len(ids)))
-        cols = [pc.take(places.dictionary, pa.array(country[head])), pa.array(asked[head]), pa.array(block[lists][groups]), same(tid), same(base)]
+        cols = [pc.take(places.dictionary, pa.array(country[head])), pa.array(asked[head]), pa.array(block[lists][groups]), pc.take(b["alone"], pa.array(head)), same(tid), same(base)]
         cols += [pa.array(np.diff(np.append(groups, len(r)))), pa.array(count)]
         cols += [_bytes(x, groups) for x in (step[r], b["q"].to_numpy()[r], b["use"].to_numpy(zero_copy_only=False)[r].astype(np.uint8), sizes)]
         yield pa.RecordBatch.from_arrays([*cols, _bytes(above, lists[groups])], [c.split()[0] for c in _DEALT.split(", ")])
@@ -190,7 +196,7 @@ def _built(t: pa.Table) -> pa.Table:
     kept = entry[order].astype(np.min_scalar_type(max(len(ids), len(tids))) if asked else np.min_scalar_type(len(ids)))
     cols = [np.diff(ids, prepend=0), norms, np.diff(tids, prepend=0), q[first], np.diff(starts, prepend=0).astype(np.int64), kept]
     packed = [pa.array([pa.compress(c.tobytes(), "zstd", asbytes=True)], pa.binary()) for c in cols]
-    return pa.table([t["country"][:1], t["asked"][:1], t["block"][:1], pa.array([[c.nbytes for c in cols]]), *packed], [c.split()[0] for c in _BLOCK.split(", ")])
+    return pa.table([t["country"][:1], t["asked"][:1], t["block"][:1], t["alone"][:1], pa.array([[c.nbytes for c in cols]]), *packed], [c.split()[0] for c in _BLOCK.split(", ")])
 
 
 def _arrays(t: pa.Table, own: str) -> list[np.ndarray]:
@@ -238,6 +244,47 @@ def _best(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return search
 
 
+def _kept(found: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each query."""
+    row, pool, score = (found[c].to_numpy() for c in ("s1_row", "pool_row", "score"))
+    order = np.lexsort((pool, -score, row))
+    first = _runs(row[order])
+    place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    return found.take(pa.array(order[place < k]))
+
+
+def _met(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The k best rows for each query of the groups of a task, in all the blocks that they meet there; one pair in a batch."""
+    search = _best(k)
+
+    def meet(pairs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[str, int], pa.Table] = {}
+        for pair in (b.slice(i, 1) for b in pairs for i in range(b.num_rows)):
+            t = pa.Table.from_batches([pair])
+            found, own = search(t, t), (t["g_country"][0].as_py(), t["g"][0].as_py())
+            best[own] = _kept(pa.concat_tables([best[own], found]), k) if own in best else found
+            if sum(x.num_rows for x in best.values()) > HELD:
+                for x in best.values():
+                    yield from x.to_batches()
+                best = {}
+        for x in best.values():
+            yield from x.to_batches()
+
+    return meet
+
+
+@contextmanager
+def _one_by_one(spark: SparkSession) -> Iterator[None]:
+    """Rows of whole blocks go to Python one at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def _rounds(sizes: DataFrame) -> int:
     """In how many rounds blocks and groups meet: a round has at most as many pairs as there are blocks and groups, or MEET, and once as many blocks."""
     pairs, blocks = sizes.agg(F.sum(F.col("blocks") * F.col("groups")), F.sum(F.col("blocks") + F.col("groups"))).first()
@@ -258,25 +305,33 @@ def top_k(listed: DataFrame, k: int, cap: float, block: int = BLOCK) -> DataFram
     known = packed.where(real).withColumns({"df": of(pool), "wanted": of(F.col("asked"))}).where("df is not null").join(sizes, "country")
     q = F.round((F.ln(F.col("records").cast("double")) - F.ln(F.col("df").cast("double"))) * 10000).cast("long")
     use = (F.col("df") <= cap * F.col("records")) & F.col("wanted").isNotNull()
-    dealt = known.select("country", "asked", "tok", q.alias("q"), use.alias("use"), F.when(F.col("asked"), F.col("groups")).otherwise(F.col("blocks")).alias("blocks"), "n", "base", "ids")
+    dealt = known.select("country", "asked", "tok", q.alias("q"), use.alias("use"), F.when(F.col("asked"), F.col("groups")).otherwise(F.col("blocks")).alias("blocks"), (F.col("groups") * F.col("blocks") == 1).alias("alone"), "n", "base", "ids")
     dealt = stored(dealt.mapInArrow(_dealt, _DEALT), "zstd")  # the first exchange's files go before the second one's come
     dropped(packed)
-    built = stored(dealt.groupBy("country", "asked", "block").applyInArrow(_built, _BLOCK))
-    dropped(dealt)
     rounds = _rounds(sizes)
-    each = lambda c, use: F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col(c) - 1), use))
-    side = lambda mine, own, other, copies: built.where(mine).join(sizes, "country").select(F.col("country").alias(f"{own}_country"), F.col("block").alias(own), copies.alias(other), *[F.col(c).alias(f"{own}_{c}") for c in ("raw", *_ARRAYS)])
+    turn = F.when(F.col("alone"), ALONE).when(F.col("asked"), F.col("block") % rounds).otherwise(POOL)
+    built = stored(dealt.groupBy("country", "asked", "block").applyInArrow(_built, _BLOCK).withColumn("turn", turn.cast("int")), "snappy", "turn")
+    dropped(dealt)
+    spark = listed.sparkSession
+    side = lambda where, own, at: built.where(where).select(F.col("country").alias(f"{own}_country"), F.col("block").alias(at), *[F.col(c).alias(f"{own}_{c}") for c in ("raw", *_ARRAYS)])
 
     def near(i: int) -> DataFrame:
-        """What the pairs of blocks of round i find."""
-        turn = lambda g: g % rounds == i
-        a = side(F.col("asked") & turn(F.col("block")), "g", "b", each("blocks", lambda b: F.lit(True)))
-        b = side(~F.col("asked"), "b", "g", each("groups", turn))
-        return a.groupBy("g_country", "g", "b").cogroup(b.groupBy("b_country", "g", "b")).applyInArrow(_best(k), _FOUND)
+        """What the pairs of blocks of round i find; every task reads its own pairs, by groups."""
+        a, b = side(F.col("turn") == i, "g", "g"), side(F.col("turn") == POOL, "b", "b")
+        pairs = a.join(b.hint("shuffle_replicate_nl"), F.col("g_country") == F.col("b_country"))
+        return pairs.coalesce(SPREAD * spark.sparkContext.defaultParallelism).mapInArrow(_met(k), _FOUND)
+
+    def alone() -> DataFrame:
+        """What the pairs of countries with one block and one group find."""
+        a, b = (side((F.col("turn") == ALONE) & (F.col("asked") == asked), own, own) for asked, own in ((True, "g"), (False, "b")))
+        return a.groupBy("g_country").cogroup(b.groupBy("b_country")).applyInArrow(_best(k), _FOUND)
 
     order = Window.partitionBy("s1_row").orderBy(F.desc("score"), "pool_row")
     own = lambda c: F.nullif(c, F.lit(NO_ID)).cast(kind).alias(c)
-    best = together([stored(near(i).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(own("s1_row"), own("pool_row"), "country", "score", "rank")) for i in range(rounds)])
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(own("s1_row"), own("pool_row"), "country", "score", "rank")
+    with _one_by_one(spark):
+        best = [stored(ranked(near(i))) for i in range(rounds)]
+    best = together([*best, stored(ranked(alone()))])
     dropped(built)
     dropped(sizes)
     return best

@@ -37,12 +37,15 @@ def _shuffles_go(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(CLEANUP, was)
 
 
-def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
-    """Write df to the shared folder and read it from there: lineage ends, so lost executors cost no recomputation."""
+def stored(df: DataFrame, codec: str = "snappy", by: str | None = None) -> DataFrame:
+    """Write df to the shared folder and read it from there: lineage ends, so lost executors cost no recomputation.
+
+    by: a column that has a folder for each of its values, so that a filter on it opens no other files.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     with _shuffles_go(spark):
-        df.write.parquet(path, compression=codec)
+        df.write.parquet(path, compression=codec, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -93,3 +93,38 @@ def test_numbers_of_any_size_pass_as_bytes():
     assert postings._numbers(both.slice(1, 3), np.array([1, 2, 1])).tolist() == [3, 70000, 1, 2**40]
     base, above = postings._based(np.array([5, postings.NO_ID, 2**62]))
     assert (np.full(3, base) + above.astype(np.int64)).tolist() == [5, postings.NO_ID, 2**62]
+
+
+def test_blocks_enter_no_exchange(spark, words, monkeypatch):
+    """Copies of blocks for every group that they meet were shuffled, so what was shuffled grew with the square of the input."""
+    import re
+
+    keys, stored = [], postings.stored
+
+    def spied(df, *how):
+        if "rank" in df.columns:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            keys.extend(re.sub(r"#\d+L?", "", k) for k in re.findall(r"hashpartitioning\((.*?), \d+\)", plan))
+        return stored(df, *how)
+
+    monkeypatch.setattr(postings, "stored", spied)
+    assert postings.top_k(words, 3, 1.0, 4000).count()
+    assert keys and set(keys) <= {"s1_row", "g_country", "b_country"}
+
+
+def test_a_task_sends_the_best_rows_of_all_its_blocks(monkeypatch):
+    import pyarrow as pa
+
+    def one(a, b):
+        x = b["b"][0].as_py()
+        return pa.table([[1, 1, 2], [10 * x, 10 * x + 1, 10 * x], ["c"] * 3, [x % 3 / 2, 0.25, 0.5]], ["s1_row", "pool_row", "country", "score"])
+
+    monkeypatch.setattr(postings, "_best", lambda k: one)
+    pairs = [pa.record_batch([["c"], [0], [b]], ["g_country", "g", "b"]) for b in range(5)]
+    want = [(1, 20, 1.0), (1, 10, 0.5), (2, 0, 0.5), (2, 10, 0.5)]
+    for held, times in ((1 << 22, 1), (1, 5)):
+        monkeypatch.setattr(postings, "HELD", held)
+        found = [(r["s1_row"], r["pool_row"], r["score"]) for b in postings._met(2)(iter(pairs)) for r in b.to_pylist()]
+        assert len(found) == (4 if times == 1 else 15) and set(want) <= set(found)
+        if times == 1:
+            assert found == want
