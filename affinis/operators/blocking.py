@@ -16,17 +16,17 @@ from . import postings
 def listed(records: DataFrame, view: str) -> DataFrame:
     """(id, country, src, toks): the distinct words or character grams of one view of the records."""
     grams = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - 2, F.lit(1))), lambda i: F.substr(s, i, F.lit(3)))
-    letters = F.filter("addr", lambda t: t.rlike(r"\p{L}"))
-    digits = F.transform(F.filter("addr", lambda t: t.rlike("^[0-9]+$")), lambda t: F.concat(F.lit("#"), t))
-    prefix = lambda p, a: F.transform(a, lambda t: F.concat(F.lit(p), t))
+    kind = lambda p: lambda t: F.when(t.rlike(r"\p{L}"), F.concat(F.lit(p), t)).when(t.rlike("^[0-9]+$"), F.concat(F.lit(f"{p}#"), t))
+    addr = lambda p: F.filter(F.transform(F.array_distinct("addr"), kind(p)), lambda t: t.isNotNull())
+    unique = lambda a: F.filter(F.array_distinct(a), lambda t: t != "")
+    named = lambda p, a: unique(F.transform(a, lambda t: F.concat(F.lit(p), t)))
     tight = F.array_join("name", "")
-    views: dict[str, Column] = {
-        "W_name": F.col("name"), "W_addr": F.concat(letters, digits),
-        "W_all": F.concat(prefix("n:", F.col("name")), prefix("a:", F.concat(letters, digits))),
-        "C_name": F.when(F.length(tight) > 0, grams(tight)).otherwise(F.array().cast("array<string>")),
+    letters = F.when(F.length(tight) > 0, grams(tight)).otherwise(F.array().cast("array<string>"))
+    views: dict[str, Column] = {  # parts of a view share no word, so each is made distinct on its own
+        "W_name": unique("name"), "W_addr": addr(""), "W_all": F.concat(named("n:", F.col("name")), addr("a:")),
+        "C_name": unique(letters), "C_all": F.concat(named("c:", letters), addr("a:")),
     }
-    views["C_all"] = F.concat(prefix("c:", views["C_name"]), prefix("a:", views["W_addr"]))
-    return records.select("id", "country", "src", F.filter(F.array_distinct(views[view]), lambda t: t != "").alias("toks"))
+    return records.select("id", "country", "src", views[view].alias("toks"))
 
 
 def tokens(records: DataFrame, view: str) -> DataFrame:

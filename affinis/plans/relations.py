@@ -19,9 +19,11 @@ def _side(number: Column) -> Column:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, country, src, name, addr): documents as records. name: the first words of a text; addr: all its others."""
-    tokens = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("country"), _side(F.col("doc_id")).alias("src"), tokens.alias("t"))
-    return docs.select("id", "country", "src", F.slice("t", 1, NAME_TOKENS).alias("name"), F.slice("t", F.lit(NAME_TOKENS + 1), F.greatest(F.size("t"), F.lit(0))).alias("addr"))
+    words = lambda c: F.regexp_extract_all(c, F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    start = rf"^[^\p{{L}}\p{{N}}]*+(?:[\p{{L}}\p{{N}}]++[^\p{{L}}\p{{N}}]++){{0,{NAME_TOKENS - 1}}}+[\p{{L}}\p{{N}}]*+"
+    name = words(F.regexp_extract(F.lower("text"), start, 0))  # what only needs the name looks for no other words
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("country"), _side(F.col("doc_id")).alias("src"), name.alias("name"), words(F.lower("text")).alias("t"))
+    return docs.select("id", "country", "src", "name", F.slice("t", F.lit(NAME_TOKENS + 1), F.greatest(F.size("t"), F.lit(0))).alias("addr"))
 
 
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,3 +128,25 @@ def test_a_task_sends_the_best_rows_of_all_its_blocks(monkeypatch):
         assert len(found) == (4 if times == 1 else 15) and set(want) <= set(found)
         if times == 1:
             assert found == want
+
+
+def test_names_and_views_of_odd_texts(spark, tmp_path):
+    """A name looked through the whole text, and a view made all its words distinct after looking at each of them."""
+    import re
+
+    from affinis.plans import relations
+
+    texts = [None, "", " .,", "One", "  one TWO.", "a b c d e f g h", "a b c d e f g h.", "- a\nb\tc,d;e f g h i I i 12 12 a1 ½ ٤ #7", "你好 \U00010400 İx " * 9, "x" * 70000 + " y " * 20000]
+    spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    r = relations.records(spark, str(tmp_path))
+    low = {x.doc_id: x.t for x in spark.read.parquet(f"{tmp_path}/documents.parquet").selectExpr("doc_id", "regexp_extract_all(lower(text), '[\\\\p{L}\\\\p{N}]+', 0) t").collect()}
+    for x in r.collect():
+        assert (x["name"], x.addr) == ((None, None) if low[x.id] is None else (low[x.id][:8], low[x.id][8:]))
+    lettered = lambda t: any(c.isalpha() for c in t)
+    tagged = lambda a: {f"a:{t}" if lettered(t) else f"a:#{t}" for t in a if lettered(t) or re.fullmatch("[0-9]+", t)}
+    for x in blocking.listed(r, "W_all").collect():
+        words = low[x.id]
+        assert (x.toks and sorted(x.toks)) == (words and sorted({f"n:{t}" for t in words[:8]} | tagged(words[8:])))
+    plan = blocking.listed(r, "W_name")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == plan.count("regexp_extract_all(regexp_extract(") == 1
+    assert blocking.listed(r, "W_all")._jdf.queryExecution().optimizedPlan().toString().count("array_distinct") == 2
