@@ -229,15 +229,6 @@ def _best(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 some = np.concatenate([rows[s:e] for s, e in zip(starts[w].tolist(), starts[w + 1].tolist(), strict=True)])
                 dot = _sum(np.repeat(square[w], sizes[w]), some, n, big)
                 met = dot > 0 if plain else np.bincount(some, minlength=n) > 0
-                if 4 * len(some) < n:  # few rows have a word of the query: no other is looked at
-                    some = np.flatnonzero(met if plain else met & (root > 0))
-                    score = dot[some] / (x * root[some])
-                    if len(some) > k:
-                        best = np.flatnonzero(score >= np.partition(score, -k)[-k])
-                        some, score = some[best], score[best]
-                    best = np.lexsort((ids[some], -score))[:k]
-                    found.append((np.full(len(best), asked[i]), ids[some[best]], score[best]))
-                    continue
                 score = np.full(n, -np.inf)
                 np.divide(dot, x * root, out=score, where=met & (root > 0))
                 least = -np.inf
